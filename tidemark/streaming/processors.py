@@ -110,7 +110,7 @@ class Timers(StatefulProcessor):
 
     def _rows(self, key, kind: str, times) -> pd.DataFrame:
         at = np.asarray(times, dtype=np.int64)
-        held = {name: [value] * len(at) for name, value in zip(self.keys, key)}
+        held = {n: pd.Series([v] * len(at), dtype=object) for n, v in zip(self.keys, key)}
         return pd.DataFrame({**held, "kind": kind, "at_ms": at})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -159,12 +159,21 @@ class PeriodicCounter(StatefulProcessor):
             at = first + self.after_ms
             self.timer.update((at,))
             self.handle.registerTimer(at + 1)
-        yield pd.DataFrame({self.key: [], "timer_ms": [], "cnt": []})
+        yield self._out([], [], [])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.timer.clear()
         at = expiredTimerInfo.getExpiryTimeInMs() - 1
-        yield pd.DataFrame({self.key: [key[0]], "timer_ms": [at], "cnt": [_value(self.total, 0)]})
+        yield self._out([key[0]], [at], [_value(self.total, 0)])
+
+    def _out(self, keys: list, times: list, counts: list) -> pd.DataFrame:
+        return pd.DataFrame(
+            {
+                self.key: pd.Series(keys, dtype=object),
+                "timer_ms": np.array(times, dtype=np.int64),
+                "cnt": np.array(counts, dtype=np.int64),
+            }
+        )
 
     def close(self) -> None:
         pass
@@ -204,7 +213,7 @@ class TopNBuffer(StatefulProcessor):
             {
                 "window_end_ms": np.full(n, int(key[0]), dtype=np.int64),
                 "rank": np.arange(1, n + 1),
-                "url": [url for url, _ in padded],
+                "url": pd.Series([url for url, _ in padded], dtype=object),
                 "pv": np.array([pv for _, pv in padded], dtype=np.int64),
             }
         )
@@ -259,9 +268,12 @@ class Pattern(StatefulProcessor):
         yield self._out(key, matches)
 
     def _out(self, key, matches: list) -> pd.DataFrame:
-        out = {self.key: [key[0]] * len(matches), "seq": [m[0][1] for m in matches]}
+        out = {
+            self.key: pd.Series([key[0]] * len(matches), dtype=object),
+            "seq": np.array([m[0][1] for m in matches], dtype=np.int64),
+        }
         for i in range(self.steps):
-            out[f"ts_{i + 1}"] = [m[i][0] for m in matches]
+            out[f"ts_{i + 1}"] = np.array([m[i][0] for m in matches], dtype=np.int64)
         return pd.DataFrame(out)
 
     def close(self) -> None:
