@@ -19,8 +19,11 @@ from tidemark.functions.text import render_event, words
 from tidemark.functions.time import epoch_ms
 from tidemark.operators import lateness, parsing, patterns, reconcile, routing, running
 from tidemark.operators import tables, timers, topn, watermarks, windows
-from tidemark.sources.events import clicks, table
+from tidemark.session import fresh_path
+from tidemark.sources.events import clicks, stream_clicks, stream_table, table
 from tidemark.sources.text import lines_of
+from tidemark.streaming import processors, sinks
+from tidemark.streaming.late import LateCounts
 
 HOUR = 3_600_000
 DAY = 24 * HOUR
@@ -498,3 +501,57 @@ def dsl_where(spark, folder):
 def sql_count(spark, folder):
     view = clicks(spark, folder).select("url", "user")
     return tables.sql(spark, "SELECT `user`, count(url) AS cnt FROM {t} GROUP BY `user`", t=view)
+
+
+# --- streams -------------------------------------------------------------------
+# Each runs over all input there is and gives back what it wrote.
+
+
+@query(ORACLES["word_count"])
+def stream_word_count(spark, folder):
+    counts = parsing.word_count(lines_of(stream_table(spark, folder, "documents"), "text"))
+    return sinks.run_to_table(counts, "word-count", "update", ["word"])
+
+
+@query(ORACLES["pv_per_url_tumble"])
+def stream_pv_per_url(spark, folder):
+    timed = stream_clicks(spark, folder).withWatermark("ts", "2 hours")
+    counts = windows.window_aggregate(timed, ["url"], 10 * HOUR)
+    keys = ["url", windows.START, windows.END]
+    return sinks.run_to_table(counts, "pv-per-url", "update", keys)
+
+
+@query(f"""WITH {CLICKS}
+SELECT "user", count(*) OVER (PARTITION BY "user" ORDER BY seq)::BIGINT AS cnt FROM clicks""")
+def stream_running_count(spark, folder):
+    counted = processors.process(
+        stream_clicks(spark, folder).select("user", "seq"),
+        ["user"],
+        processors.RunningCount(["user"]),
+        "user bigint, cnt bigint",
+    )
+    return sinks.run_to_table(counted, "running-count")
+
+
+@query(f"""WITH {CLICKS}
+SELECT seq, "user", url, ts_ms, CASE WHEN url = 'purchase' THEN 'orders' WHEN url = 'error' THEN 'errors'
+  ELSE 'main' END AS route FROM clicks""")
+def stream_split(spark, folder):
+    path = fresh_path(spark, "split")
+    stream = stream_clicks(spark, folder).drop("ts")
+    orders, errors = F.col("url") == "purchase", F.col("url") == "error"
+    routes = {"orders": orders, "errors": errors, "main": ~orders & ~errors}
+    sinks.fan_out(stream, path, routes).awaitTermination()
+    parts = [spark.read.schema(stream.schema).parquet(f"{path}/{label}") for label in routes]
+    labelled = [p.withColumn("route", F.lit(r)).drop(sinks.BATCH) for r, p in zip(routes, parts)]
+    return routing.union_all(*labelled)
+
+
+@query(f"""SELECT * FROM ({ORACLES["late_refire"]})
+WHERE firing = 'refire' OR window_end_ms + {2 * HOUR} <= (SELECT max(epoch_us(ts) // 1000) FROM events)""")
+def stream_late_refire(spark, folder):
+    shift = F.pmod(F.col("seq") * 7919, F.lit(97)) * F.lit(900_000)
+    stream = stream_clicks(spark, folder).drop("ts").withColumn("arr", F.col("ts_ms") + shift)
+    sink = LateCounts(fresh_path(spark, "late"), ["user"], ARRIVAL, **LATE)
+    sink.start(stream.select("arr", "seq", "user", "ts_ms")).awaitTermination()
+    return sink.firings(spark)

@@ -74,14 +74,13 @@ def page_and_visitor_counts(
     """Page views and distinct visitors of each window over all keys.
 
     Rows are first counted per visitor, so one busy window or visitor is spread
-    over all tasks. On a stream, distinct visitors are held as a set per window.
+    over all tasks; no task holds the visitors of a window.
     """
     if df.isStreaming:
-        return (
-            df.groupBy(_time_column(size_ms, slide_ms).alias("window"))
-            .agg(F.count("*").alias("pv"), F.size(F.collect_set(user)).cast("bigint").alias("uv"))
-            .select(*_bounds(), "pv", "uv")
-        )
+        window = _time_column(size_ms, slide_ms).alias("window")
+        per_user = df.groupBy(window, user).agg(F.count("*").alias("pv"))
+        counts = per_user.groupBy("window").agg(F.sum("pv").alias("pv"), F.count(user).alias("uv"))
+        return counts.select(*_bounds(), "pv", "uv")
     per_user = window_aggregate(df, [user], size_ms, slide_ms)
     return per_user.groupBy(START, END).agg(
         F.sum("pv").alias("pv"), F.count(user).alias("uv")

@@ -39,14 +39,11 @@ def clicks(spark: SparkSession, folder: str) -> DataFrame:
 def stream_table(
     spark: SparkSession, folder: str, name: str, files_per_batch: int = 1000
 ) -> DataFrame:
-    """The Parquet files ``<name>.parquet`` of a folder as a stream."""
+    """A Parquet table, one file or a folder of files, as a stream."""
     schema = table(spark, folder, name).schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(folder)
-    )
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    # A stream cannot start from a single file's path, but from a pattern it can.
+    return reader.parquet(f"{folder}/{name}.parquet*")
 
 
 def stream_clicks(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
