@@ -15,6 +15,8 @@ NO_ORDER = "failed: no app order"
 def latest_per_key(df: DataFrame, key: str, ts_ms: str = "ts_ms") -> DataFrame:
     """The last row per key: a later one takes the place of a waiting one."""
     others = [c for c in df.columns if c != key]
+    if others == [ts_ms]:
+        return df.groupBy(key).agg(F.max(ts_ms).alias(ts_ms))
     last = F.max(F.struct(ts_ms, *[c for c in others if c != ts_ms])).alias("__last")
     return df.groupBy(key).agg(last).select(key, *[F.col(f"__last.{c}").alias(c) for c in others])
 

@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.plans.chunks import CHUNK, plan_chunks
+from tidemark.plans.chunks import CHUNK, CHUNK_ROWS, plan_chunks
 from tidemark.plans.scans import CARRY, first_arrivals, prefix_scan, stack
 from tidemark.session import cut_lineage
 
@@ -110,14 +110,16 @@ def periodic_counter(
     at = ["__o0", "__o1"]
     fired = _with_firing(df, [user], order, after_ms, delay_ms, chunk_rows)
     never = F.lit(END_OF_INPUT)
-    fired = fired.select(
-        user,
-        F.col(order[0]).alias("__o0"),
-        F.col(order[-1]).alias("__o1"),
-        "timer_ms",
-        "__seen",
-        F.coalesce(F.col(f"__fires.{order[0]}"), never).alias("__f0"),
-        F.coalesce(F.col(f"__fires.{order[-1]}"), never).alias("__f1"),
+    fired = cut_lineage(
+        fired.select(
+            user,
+            F.col(order[0]).alias("__o0"),
+            F.col(order[-1]).alias("__o1"),
+            "timer_ms",
+            "__seen",
+            F.coalesce(F.col(f"__fires.{order[0]}"), never).alias("__f0"),
+            F.coalesce(F.col(f"__fires.{order[-1]}"), never).alias("__f1"),
+        )
     )
     # ``__seen`` never falls along the order, so its running maximum is the value at
     # the user's previous row.
@@ -174,14 +176,18 @@ def _armed(
             lambda g: _pending_per_chunk(g, user), pending_schema
         )
         stacked = stack(rows, pending)
-    arm_schema = T.StructType(
-        [candidates.schema[c] for c in (user, *at, "timer_ms", "__before")]
+    # Many small users share a call; a chunk of a hot user has its own.
+    shuffles = int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    calls = max(2 * shuffles, chunks.rows // (chunk_rows or CHUNK_ROWS))
+    call = F.when(F.col(CHUNK) > 0, F.xxhash64(user, CHUNK)).otherwise(
+        F.pmod(F.xxhash64(user), F.lit(calls))
     )
+    arm_schema = T.StructType([candidates.schema[c] for c in (user, *at, "timer_ms", "__before")])
     names = arm_schema.fieldNames()
     return (
         stacked.select(*names, "__f0", "__f1", CHUNK, CARRY)
-        .groupBy(user, CHUNK)
-        .applyInPandas(lambda g: _walk(g)[names], arm_schema)
+        .groupBy(call.alias("__call"))
+        .applyInPandas(lambda g: _walk(g, user)[names], arm_schema)
     )
 
 
@@ -200,22 +206,35 @@ def _columns(g: pd.DataFrame, *names: str) -> tuple[np.ndarray, ...]:
     return tuple(g[n].to_numpy(dtype=np.int64) for n in names)
 
 
-def _walk(g: pd.DataFrame) -> pd.DataFrame:
+def _walk(g: pd.DataFrame, user: str) -> pd.DataFrame:
+    """Rows that arm a timer, for all users and chunks of a call at once."""
+    g = g.assign(__part=g.groupby([user, CHUNK], dropna=False).ngroup())
     carried = g[CARRY].to_numpy(dtype=bool)
-    rows = g[~carried].sort_values(["__o0", "__o1"], ignore_index=True)
+    rows = g[~carried].sort_values(["__part", "__o0", "__o1"], ignore_index=True)
     held = g[carried]
     at, fires, pending = _codes(
         _columns(rows, "__o0", "__o1"),
         _columns(rows, "__f0", "__f1"),
         _columns(held, "__f0", "__f1"),
     )
-    following = np.searchsorted(at, fires, side="right")
-    i = int(np.searchsorted(at, pending[0], side="right")) if len(pending) else 0
+    part, n = rows["__part"].to_numpy(dtype=np.int64), len(rows)
+    span = 2 * len(g) + 1
+    places = part * span + at
+
+    def first_after(of: np.ndarray, code: np.ndarray) -> np.ndarray:
+        found = np.searchsorted(places, of * span + code, side="right")
+        return np.where(found < np.searchsorted(part, of, side="right"), found, n)
+
+    following = first_after(part, fires)
+    starts = np.flatnonzero(np.r_[True, np.diff(part) != 0][:n])
+    entered = held["__part"].to_numpy(dtype=np.int64)
+    free = starts[~np.isin(part[starts], entered)]
+    step = np.concatenate([free, first_after(entered, pending)])
     armed = []
-    while i < len(at):
-        armed.append(i)
-        i = int(following[i])
-    return rows.iloc[armed]
+    while len(step := step[step < n]):
+        armed.append(step)
+        step = following[step]
+    return rows.iloc[np.concatenate(armed) if armed else []]
 
 
 def _chunk_exits(g: pd.DataFrame, user: str, horizon_ms: int) -> pd.DataFrame:

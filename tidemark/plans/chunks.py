@@ -35,6 +35,7 @@ class Chunks:
     heavy: tuple[int, ...] = ()
     tie_borders: tuple[float, ...] = ()
     hot: tuple[int, ...] = ()
+    rows: int = 0
 
     @property
     def split(self) -> bool:
@@ -97,7 +98,7 @@ def plan_chunks(
     if not keys:
         wanted = max(wanted, min(total // SMALL_CHUNK_ROWS, spark.sparkContext.defaultParallelism))
     if wanted <= 1:
-        return Chunks(order, keys)
+        return Chunks(order, keys, rows=total)
 
     picked = df.select(
         (F.xxhash64(*keys) if keys else F.lit(0).cast("long")).alias("h"),
@@ -109,7 +110,7 @@ def plan_chunks(
         picked = picked.sample(fraction, seed=11)
     sample = picked.toPandas()
     if sample.empty:
-        return Chunks(order, keys)
+        return Chunks(order, keys, rows=total)
 
     hot: tuple[int, ...] = ()
     if keys:
@@ -117,7 +118,7 @@ def plan_chunks(
         enough = chunk_rows * min(1.0, fraction) / 2
         hot = tuple(int(h) for h in seen[seen >= max(enough, 2)].index)
         if not hot:
-            return Chunks(order, keys)
+            return Chunks(order, keys, rows=total)
 
     ordered = sample[["o0", "o1"]].sort_values(["o0", "o1"], ignore_index=True)
     steps = [len(ordered) * i // wanted for i in range(1, wanted)]
@@ -130,4 +131,4 @@ def plan_chunks(
         heavy = tuple(int(v) for v in repeats[repeats > 1].index)
         tied = cuts[cuts["o0"].isin(heavy)]
         tie_borders = tuple(sorted({float(v) for v in tied["o1"]}))
-    return Chunks(order, keys, borders, heavy, tie_borders, hot)
+    return Chunks(order, keys, borders, heavy, tie_borders, hot, total)
