@@ -13,7 +13,10 @@ def spark(tmp_path_factory):
     session = local_session(
         "tidemark-tests",
         4,
-        **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))},
+        **{
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+            "spark.sql.shuffle.partitions": "2",
+        },
     )
     yield session
     session.stop()

@@ -54,8 +54,10 @@ def _with_firing(
             F.greatest(timer + F.lit(delay_ms), "__seen", "ts_ms").alias("__passes"),
         ).withColumn("__passes", F.col("__passes") + 1)
     )
-    arrivals = marked.groupBy(F.col("ts_ms").alias("__passes")).agg(
-        F.min(F.struct(*order, "ts_ms")).alias("first")
+    # Only a new maximum moves the watermark, and each maximum comes once.
+    rises = F.col("__seen").isNull() | (F.col("ts_ms") > F.col("__seen"))
+    arrivals = marked.where(rises).select(
+        F.col("ts_ms").alias("__passes"), F.struct(*order, "ts_ms").alias("first")
     )
     reached = first_arrivals(arrivals, marked, "__passes", chunk_rows)
     return marked.join(reached, "__passes").withColumnRenamed("arrival", "__fires")

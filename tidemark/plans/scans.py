@@ -147,7 +147,7 @@ def first_arrivals(
     """
     stacked = cut_lineage(
         cells.select(at, "first")
-        .unionByName(probes.select(at).distinct(), allowMissingColumns=True)
+        .unionByName(probes.select(at), allowMissingColumns=True)
         .groupBy(at)
         .agg(F.min("first").alias("first"))
     )
