@@ -14,9 +14,12 @@ def words(line: Column) -> Column:
     return F.when(blank, F.array().cast("array<string>")).otherwise(F.split(trimmed, " "))
 
 
+# The texts below are fixed formats.
+
+
 def timestamp_text(ts_ms: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss.S`` with trailing zeros of the fraction removed."""
-    ts = F.timestamp_millis(ts_ms)
+    """``yyyy-MM-dd HH:mm:ss.S`` in UTC, with trailing zeros of the fraction removed."""
+    ts = F.timestamp_add("MILLISECOND", ts_ms, F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
     fraction = F.regexp_replace(F.date_format(ts, "SSS"), "0{1,2}$", "")
     return F.concat(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), F.lit("."), fraction)
 

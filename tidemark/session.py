@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
@@ -21,7 +22,7 @@ def local_session(app: str = "tidemark", cpus: int | str = 8, **conf: str) -> Sp
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+        .config(STATE_STORE, ROCKSDB_PROVIDER)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
     )

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidemark.session import ROCKSDB_PROVIDER, STATE_STORE
+
 
 def process(
     stream: DataFrame,
@@ -25,7 +27,8 @@ def process(
     time_mode: str = "None",
     output_mode: str = "Append",
 ) -> DataFrame:
-    """Apply a processor per key."""
+    """Apply a processor per key. Keyed state needs the RocksDB state store, set here."""
+    stream.sparkSession.conf.set(STATE_STORE, ROCKSDB_PROVIDER)
     return stream.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=schema,
