@@ -27,7 +27,7 @@ BUCKETS = 1 << 12
 ORDERS = (1, 2, 3)
 WIDTH = BUCKETS * len(ORDERS)
 #: Rows that the model is fitted on, at most about.
-TRAINING_ROWS = 4000
+TRAINING_ROWS = 2400
 #: A language's share of them when there are many.
 LEAST_PER_LANGUAGE = 20
 UNKNOWN = "und"
@@ -74,10 +74,10 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 def ftrl(
-    x: np.ndarray, y: np.ndarray, classes: int, *, epochs: int = 4, batch: int = 8,
+    x: np.ndarray, y: np.ndarray, classes: int, rows: np.ndarray, *, epochs: int = 4, batch: int = 8,
     alpha: float = 2.0, beta: float = 1.0, l1: float = 0.02, l2: float = 0.01,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and bias. Coordinates whose leader stays within ``l1`` are zero."""
+    """Weights and bias from the given ``rows``. Coordinates whose leader stays within ``l1`` are zero."""
     width = x.shape[1] + 1
     z, n = np.zeros((width, classes)), np.zeros((width, classes))
     penalty = np.full((width, 1), l1)
@@ -90,13 +90,13 @@ def ftrl(
     draw = np.random.default_rng(3)
     w = leader()
     for _ in range(epochs):
-        order = draw.permutation(len(y))
-        for i in range(0, len(y), batch):
+        order = draw.permutation(rows)
+        for i in range(0, len(order), batch):
             at = order[i : i + batch]
-            rows = np.concatenate([x[at], np.ones((len(at), 1), x.dtype)], 1)
-            error = _softmax(rows @ w)
+            part = np.concatenate([x[at], np.ones((len(at), 1), x.dtype)], 1)
+            error = _softmax(part @ w)
             error[np.arange(len(at)), y[at]] -= 1.0
-            g = rows.T @ error / len(at)
+            g = part.T @ error / len(at)
             sigma = (np.sqrt(n + g * g) - np.sqrt(n)) / alpha
             z += g - sigma * w
             n += g * g
@@ -168,14 +168,15 @@ def fit(labelled: DataFrame, rows: int = TRAINING_ROWS) -> Model | None:
     y = got["lang"].map(number).to_numpy()
     x = np.zeros((len(got), WIDTH), np.float32)
     for row, slots, counts in zip(x, got["slots"], got["counts"]):
-        row[np.frombuffer(slots, np.int32)] = np.frombuffer(counts, np.float32)
+        at = np.frombuffer(slots, np.int32)
+        row[at] = weigh(np.frombuffer(counts, np.float32), idf[at])
     if not len(y):
         return None
-    x = weigh(x, idf)
+    del got
     held = np.random.default_rng(7).random(len(y)) < 0.1
     if held.sum() < 2 or (~held).sum() < 2:
         held[:] = False
-    weights, bias = ftrl(x[~held], y[~held], len(languages))
+    weights, bias = ftrl(x, y, len(languages), np.flatnonzero(~held))
     model = Model(languages, idf, weights, bias)
     if held.any():
         model.temperature = temperature(x[held] @ weights + bias, y[held])
