@@ -1,6 +1,6 @@
 """All queries of this package; importing it registers them."""
 
-from tidemark.llm import fingerprints, language, mixing, packing, spans, suffixes, topk, toxicity
+from tidemark.llm import fingerprints, jaccard, language, lines, mixing, packing, spans, suffixes, topk, toxicity
 from tidemark.llm.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "fingerprints", "language", "mixing", "packing", "spans", "suffixes", "topk", "toxicity"]
+__all__ = ["ORACLES", "QUERIES", "fingerprints", "jaccard", "language", "lines", "mixing", "packing", "spans", "suffixes", "topk", "toxicity"]
