@@ -18,6 +18,8 @@ as many windows as it fills.
 from __future__ import annotations
 
 import os
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -28,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.llm import shared
 from tidemark.llm.registry import query, table
 from tidemark.session import cut_lineage
 
@@ -35,8 +38,12 @@ WINDOW = 2048
 END = 1
 #: Remainders in one greedy block, and items whose rank one task computes.
 BLOCK_ITEMS = 20_000
-#: Distinct words that a task remembers the ids of.
-MEMO_WORDS = 500_000
+#: Distinct words that a Python worker remembers the ids of.
+MEMO_WORDS = 1_000_000
+RUN_WORDS = 512
+TEXTS_AT_ONCE = 1024
+#: Marks that end words; without the apostrophe and what special tokens end in.
+TAIL = b'!"#$%&()*+,-./:;=?@[\\]^_`{}~'
 #: Between words that are tokenised together; a word that holds it is tokenised alone.
 SEPARATOR = "\x01"
 PIECE = "key long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -45,7 +52,9 @@ PIECE = "key long, doc_id long, start long, length long, ids_crc32 long, doc_tok
 class WordIds:
     """Token ids of texts, word by word; the tokenizer never merges across blanks.
 
-    Ids of a word are kept in one flat array, found by the word's number.
+    A word is its core and a tail of marks: after an ASCII letter or digit, a tail of
+    these marks is tokenised apart, and ASCII letters are lowered first in any case. So
+    cores are few. Ids of cores and tails lie in one flat array, found by number.
     """
 
     def __init__(self, path: str):
@@ -58,68 +67,95 @@ class WordIds:
 
     def clear(self) -> None:
         self.number: dict[bytes, int] = {}
-        self.flat = np.zeros(1 << 20, np.uint16)
-        self.ends = np.zeros(1 << 18, np.int64)
-        self.used = 0
+        self.parts = np.zeros((1 << 18, 2), np.int64)
+        self.part_number: dict[bytes, int] = {b"": 0}
+        self.flat = np.zeros(0, np.uint16)
+        self.ends = np.zeros(2, np.int64)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _ids(self, words: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The words in another order, all their ids, and how many each has."""
         texts = [w.decode("utf-8", "surrogatepass") for w in words]
         joint = [t for t in texts if SEPARATOR not in t]
         alone = [t for t in texts if SEPARATOR in t]
-        ids: list[np.ndarray] = []
-        runs = [joint[i : i + 256] for i in range(0, len(joint), 256)]
-        joined = self._encode([f" {SEPARATOR} ".join(run) for run in runs])
-        for run, got in zip(runs, joined):
+        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        runs = [joint[i : i + RUN_WORDS] for i in range(0, len(joint), RUN_WORDS)]
+        for run, got in zip(runs, self._encode([f" {SEPARATOR} ".join(run) for run in runs])):
             row = np.array(got, np.uint32)
             cuts = np.flatnonzero(row == self.mark)
             if len(cuts) == len(run) - 1:
-                ids += [p[p != self.mark] for p in np.split(row, cuts)]
+                ids.append(row[row != self.mark])
+                sizes.append(np.diff(np.concatenate([[-1], cuts, [len(row)]])) - 1)
             else:
-                ids += [np.array(x, np.uint32) for x in self._encode(run)]
-        ids += [np.array(x, np.uint32) for x in self._encode(alone)]
-        for word, row in zip([*joint, *alone], ids):
-            at = len(self.number)
-            while self.used + len(row) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            if at + 1 >= len(self.ends):
-                self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-            self.flat[self.used : self.used + len(row)] = row
-            self.used += len(row)
-            self.ends[at + 1] = self.used
-            self.number[word.encode("utf-8", "surrogatepass")] = at
+                each = self._encode(run)
+                ids.append(np.array([i for x in each for i in x], np.uint32))
+                sizes.append(np.array([len(x) for x in each]))
+        for x in self._encode(alone):
+            ids.append(np.array(x, np.uint32))
+            sizes.append(np.array([len(x)]))
+        order = [t.encode("utf-8", "surrogatepass") for t in [*joint, *alone]]
+        return order, np.concatenate(ids), np.concatenate(sizes)
+
+    def _learn(self, words: list[bytes]) -> None:
+        cores = [word.rstrip(TAIL) for word in words]
+        tails = [word[len(core) :] for word, core in zip(words, cores)]
+        for i in [i for i, t in enumerate(tails) if t] + [i for i, c in enumerate(cores) if not c]:
+            if b"'" in words[i] or not cores[i][-1:].isalnum():
+                cores[i], tails[i] = words[i], b""
+        cores = [core.lower() for core in cores]
+        known = self.part_number
+        new, ids, sizes = self._ids(list({*cores, *tails} - known.keys()))
+        at = len(known)
+        known.update(zip(new, range(at, at + len(new))))
+        self.flat = np.concatenate([self.flat, ids.astype(np.uint16)])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        at = len(self.number)
+        while at + len(words) > len(self.parts):
+            self.parts = np.concatenate([self.parts, np.zeros_like(self.parts)])
+        look = known.__getitem__
+        self.parts[at : at + len(words), 0] = np.fromiter(map(look, cores), np.int64, len(words))
+        self.parts[at : at + len(words), 1] = np.fromiter(map(look, tails), np.int64, len(words))
+        self.number.update(zip(words, range(at, at + len(words))))
 
     def texts(self, texts: list[bytes]) -> list[np.ndarray]:
         split = [t.split() for t in texts]
         if len(self.number) > MEMO_WORDS:
             self.clear()
-        new = dict.fromkeys(w for words in split for w in words if w not in self.number)
+        new = set().union(*split) - self.number.keys()
         if new:
             self._learn(list(new))
         out = []
         look = self.number.__getitem__
         for words in split:
             at = np.fromiter(map(look, words), np.int64, len(words))
-            begin, size = self.ends[at], self.ends[at + 1] - self.ends[at]
-            shift = np.cumsum(size) - size
-            where = np.repeat(begin - shift, size) + np.arange(int(size.sum()))
-            out.append(np.append(self.flat[where], END).astype("<u4"))
+            part = self.parts[at].ravel()
+            begin, size = self.ends[part], self.ends[part + 1] - self.ends[part]
+            out.append(np.append(self.flat[shared.ranges(begin, size)], END).astype("<u4"))
         return out
 
 
+def worker_words(path: str) -> WordIds:
+    """The word ids of this Python worker, kept from task to task."""
+    kept = sys.modules.setdefault("_tidemark_words", types.ModuleType("_tidemark_words"))
+    if getattr(kept, "path", None) != path:
+        kept.words, kept.path = WordIds(path), path
+    return kept.words
+
+
 def tokenised(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
     """Pieces of at most ``window`` ids; ``key`` tells pieces apart once written."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(path)
+        words = worker_words(path)
         key = TaskContext.get().partitionId() << 40
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i in range(0, len(ids), 256):
+            for i in range(0, len(ids), TEXTS_AT_ONCE):
                 rows = []
-                for doc, tokens in zip(ids[i : i + 256], words.texts([t or b"" for t in texts[i : i + 256]])):
+                some = [t or b"" for t in texts[i : i + TEXTS_AT_ONCE]]
+                for doc, tokens in zip(ids[i : i + TEXTS_AT_ONCE], words.texts(some)):
                     raw, n = memoryview(tokens.tobytes()), len(tokens)
                     for start in range(0, n, window):
                         size = min(window, n - start)
