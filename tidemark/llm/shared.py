@@ -30,12 +30,12 @@ _STEP = np.uint64(0xD1342543DE82EF95)
 _STEP_2 = np.uint64(0xAF251AF3B0F025B5)
 
 
-def dealt(docs: DataFrame, *columns: str, batch_bytes: int = BATCH_BYTES) -> tuple[DataFrame, int]:
+def dealt(docs: DataFrame, *columns: str) -> tuple[DataFrame, int]:
     """``batch``, the given columns and ``text`` as bytes, moved to its batch (by the
     first column); and the number of buckets for keys of these texts."""
     size = F.sum(F.octet_length("text") + 64)
     total = docs.agg(size.cast("long")).first()[0] or 0
-    batches = max(1, -(-total // batch_bytes))
+    batches = max(1, -(-total // BATCH_BYTES))
     spot = F.pmod(F.xxhash64(columns[0], F.octet_length("text")), F.lit(batches)).cast("int")
     rows = docs.select(spot.alias("batch"), *columns, F.col("text").cast("binary").alias("text"))
     return rows.repartition("batch"), max(1, -(-total // BUCKET_BYTES))
