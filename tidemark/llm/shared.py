@@ -267,9 +267,8 @@ def ask(texts: DataFrame, questions: Callable, buckets: int) -> DataFrame:
 
 def covered(starts: np.ndarray, counts: np.ndarray, window: int, total: int) -> np.ndarray:
     """Which of ``total`` symbols lie in a window of the given runs of windows."""
-    edge = np.zeros(total + 1, np.int64)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, starts + counts + window - 1, -1)
+    edge = np.bincount(starts, minlength=total + 1)
+    edge -= np.bincount(starts + counts + window - 1, minlength=total + 1)
     return np.cumsum(edge)[:total] > 0
 
 

@@ -155,29 +155,26 @@ def sorted_classes(
     return order, new
 
 
-def sort_bucket(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """For each context asked about, which of its windows an earlier document holds."""
-    rows = table.to_pylist()
-    sizes = [len(r["counts"]) for r in rows]
-    anchors = np.concatenate([np.frombuffer(r["anchors"], np.uint64) for r in rows])
-    counts = np.concatenate([np.frombuffer(r["counts"], np.uint8) for r in rows]).astype(np.int64)
-    owners = np.concatenate([np.frombuffer(r["owners"], np.int64) for r in rows])
-    data = np.frombuffer(b"".join([*(r["bytes"] for r in rows), bytes(WINDOW + 8)]), np.uint8)
-    length = counts + WINDOW - 1
-    begin = np.cumsum(length) - length
+def _earlier_windows(
+    data: np.ndarray, begin: np.ndarray, counts: np.ndarray, anchors: np.ndarray, owners: np.ndarray
+) -> np.ndarray:
+    """For each of the distinct contexts, a bit for each window that one of an earlier
+    owner holds too. A context that is alone with its anchor has no partner."""
     masks = np.zeros(len(counts), np.uint64)
     # Equal windows share their anchor, so groups of anchors can be sorted one by one.
     by_anchor = np.argsort(anchors, kind="stable")
+    new = np.append(True, anchors[by_anchor][1:] != anchors[by_anchor][:-1])
+    by_anchor = by_anchor[~new | ~np.append(new[1:], True)]
+    if not len(by_anchor):
+        return masks
     edges = np.flatnonzero(np.append(True, anchors[by_anchor][1:] != anchors[by_anchor][:-1]))
+    edges = np.append(edges, len(by_anchor))
     ahead = np.append(0, np.cumsum(counts[by_anchor]))
     a = 0
     while a < len(by_anchor):
+        # As many whole groups as fit, one at least.
         limit = np.searchsorted(ahead, ahead[a] + SORT_AT_ONCE, side="right") - 1
-        later = edges[edges > a]
-        ends = later[later <= limit]
-        b = int(ends[-1]) if len(ends) else int(later[0]) if len(later) else len(by_anchor)
-        if limit >= len(by_anchor):
-            b = len(by_anchor)
+        b = int(edges[max(np.searchsorted(edges, limit, side="right") - 1, np.searchsorted(edges, a) + 1)])
         some = by_anchor[a:b]
         at = shared.ranges(begin[some], counts[some])
         context = np.repeat(some, counts[some])
@@ -189,6 +186,30 @@ def sort_bucket(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         bit = (at[earlier] - begin[context[earlier]]).astype(np.uint64)
         np.bitwise_or.at(masks, context[earlier], np.uint64(1) << bit)
         a = b
+    return masks
+
+
+def sort_bucket(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """For each context asked about, which of its windows an earlier document holds."""
+    rows = table.to_pylist()
+    sizes = [len(r["counts"]) for r in rows]
+    anchors = np.concatenate([np.frombuffer(r["anchors"], np.uint64) for r in rows])
+    counts = np.concatenate([np.frombuffer(r["counts"], np.uint8) for r in rows]).astype(np.int64)
+    owners = np.concatenate([np.frombuffer(r["owners"], np.int64) for r in rows])
+    data = np.frombuffer(b"".join([*(r["bytes"] for r in rows), bytes(WINDOW + 8)]), np.uint8)
+    length = counts + WINDOW - 1
+    begin = np.cumsum(length) - length
+    # Equal contexts of several batches are one; the smallest owner keeps its windows.
+    digest = Rolling(_SYMBOLS[data]).runs(begin, begin + length)
+    by_content, first = shared.grouped(digest, None)
+    same = np.diff(np.append(first, len(by_content)))
+    kept = by_content[first]
+    least = np.minimum.reduceat(owners[by_content], first)
+    found = _earlier_windows(data, begin[kept], counts[kept], anchors[kept], least)
+    masks = np.empty(len(counts), np.uint64)
+    masks[by_content] = np.where(
+        owners[by_content] > np.repeat(least, same), ~np.uint64(0), np.repeat(found, same)
+    )
     out, at_row = [], 0
     for r, n in zip(rows, sizes):
         out.append(
@@ -311,7 +332,7 @@ def without_earlier(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
         copy = _copies(b, [r for r in got if r["masks"] is None], buckets)
         total = int(b.sizes.sum())
         text_of = np.repeat(np.arange(len(b.sizes)), b.sizes).astype(np.int32)
-        edge = np.zeros(total + 1, np.int64)
+        hits = [np.zeros(0, np.int64)]
         for r in got:
             if r["masks"] is None:
                 continue
@@ -324,10 +345,9 @@ def without_earlier(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
             start, count, mask = start[some], count[some], mask[some]
             at = shared.ranges(start, count)
             bit = (at - np.repeat(start, count)).astype(np.uint64)
-            hit = at[(np.repeat(mask, count) >> bit) & np.uint64(1) == 1]
-            edge += np.bincount(hit, minlength=total + 1)
-            edge -= np.bincount(hit + window, minlength=total + 1)
-        drop = np.cumsum(edge[:total]) > 0
+            hits.append(at[(np.repeat(mask, count) >> bit) & np.uint64(1) == 1])
+        hit = np.concatenate(hits)
+        drop = shared.covered(hit, np.ones(len(hit), np.int64), window, total)
         out: dict[str, list] = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
         at = 0
         for i, text in enumerate(b.texts):
