@@ -7,9 +7,11 @@ where all shared ones are frequent, by the index of pairs of frequent tokens. So
 tokens are indexed singly and frequent ones only in combination.
 
 What is frequent is read from counts over all documents, in a table of fixed size: a
-token whose slot is far above the mean. That steers cost, never results. Keys that one
-batch of documents alone holds are dropped before rows are made; the groups that stay
-are verified exactly and joined in ``links``. Copies with one set are one node.
+token whose slot is far above the mean. That steers cost, never results. With a longer
+prefix a linked pair shares more of it, about half at twice the prefix. So each document
+first asks which tokens of its longer prefix others hold in theirs, and only those with
+enough of them go on. The groups that stay are verified exactly and joined in ``links``.
+Copies with one set are one node.
 
 Defined cases: null or blank text has an empty set and is linked with nothing; a text
 with fewer words than a shingle has one shingle, all its words; repeated rows are linked
@@ -20,6 +22,7 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -59,10 +62,6 @@ def tokens(text: bytes | None, n: int) -> np.ndarray:
     return np.unique(Rolling(symbols).every(n))
 
 
-def set_of(body: bytes) -> np.ndarray:
-    return np.frombuffer(body, np.uint64)
-
-
 def _slot(t: np.ndarray) -> np.ndarray:
     return (t >> np.uint64(44)).astype(np.int64)
 
@@ -95,20 +94,38 @@ def frequent_slots(texts: DataFrame, n: int) -> np.ndarray:
     return counts > FREQUENT_TIMES * counts.mean() + FREQUENT_MORE
 
 
-def index_keys(t: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
-    """Single rare tokens and pairs of frequent ones of the extended prefix."""
-    m = len(t)
-    if m < COMBINED:
+def _missing(m: int, percent: int) -> int:
+    """Of a set of ``m`` tokens, how many a linked set can lack."""
+    return m - -(-percent * m // 100)
+
+
+def needed(m: int, percent: int) -> int:
+    """How many tokens of its longer prefix a set shares with any linked one.
+
+    With prefixes of ``missing + L`` tokens a pair shares ``L`` of them; ``L`` is
+    ``missing + 2``, so the smaller set of the pair decides.
+    """
+    return _missing(-(-percent * m // 100), percent) + COMBINED
+
+
+def longer_prefix(t: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
+    """The first tokens of the set, rare ones before frequent ones."""
+    if len(t) < COMBINED:
         return t[:0]
-    prefix = m - -(-percent * m // 100) + COMBINED
     often = frequent[_slot(t)]
-    rare = t[~often][:prefix]
-    common = t[often][: max(0, prefix - len(rare))]
-    if len(common) < 2:
-        return rare
+    return np.concatenate([t[~often], t[often]])[: 2 * _missing(len(t), percent) + COMBINED]
+
+
+def index_keys(
+    prefix: np.ndarray, often: np.ndarray, held: np.ndarray, m: int, percent: int
+) -> np.ndarray:
+    """Single rare tokens that others hold, and pairs of frequent ones, of the prefix."""
+    size = _missing(m, percent) + COMBINED
+    prefix, often, held = prefix[:size], often[:size], held[:size]
+    single, common = prefix[~often & held], prefix[often]
     i, j = np.triu_indices(len(common), 1)
     pairs = shared.mixed(common[i] * np.uint64(3) + shared.mixed(common[j]))
-    return np.concatenate([rare, pairs])
+    return np.concatenate([single, pairs])
 
 
 def joined(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -116,40 +133,40 @@ def joined(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFra
     texts, buckets = shared.dealt(docs, "doc_id")
     frequent = frequent_slots(docs.select(F.col("text").cast("binary")), n)
 
-    def sets(rows: pa.Table) -> list[tuple[np.ndarray, bytes]]:
+    def sets(rows: pa.Table) -> list[tuple[np.ndarray, bytes, bytes]]:
         found = []
         for text in rows.column("text").to_pylist():
             t = tokens(text, n)
-            found.append((t, xxhash.xxh3_128_digest(t.tobytes())))
+            found.append((t, xxhash.xxh3_128_digest(t.tobytes()), text))
         return found
 
-    def keys_by_node(found) -> tuple[dict[bytes, np.ndarray], np.ndarray, np.ndarray]:
+    def prefixes(found) -> tuple[dict[bytes, np.ndarray], np.ndarray, np.ndarray]:
         by_node: dict[bytes, np.ndarray] = {}
-        for t, node in found:
+        for t, node, _ in found:
             if node not in by_node:
-                by_node[node] = index_keys(t, frequent, percent)
+                by_node[node] = longer_prefix(t, frequent, percent)
         every = np.concatenate([*by_node.values(), np.zeros(0, np.uint64)])
         keys, counts = np.unique(every, return_counts=True)
         return by_node, keys, counts
 
     def about_keys(batch: int, rows: pa.Table) -> list[tuple]:
-        _, keys, _ = keys_by_node(sets(rows))
+        _, keys, _ = prefixes(sets(rows))
         return shared.request_rows(batch, HELD, buckets, keys)
 
     def apply(key: tuple[pa.Scalar, ...], rows: pa.Table, told: pa.Table) -> pa.Table:
         found = sets(rows)
-        by_node, keys, counts = keys_by_node(found)
+        by_node, keys, counts = prefixes(found)
         held = shared.read_bits(told.to_pylist(), HELD, buckets, keys)[0] | (counts > 1)
         out = []
-        for doc, (t, node) in zip(rows.column("doc_id").to_pylist(), found):
-            mine = by_node.pop(node, None)
-            if mine is not None:
-                mine = mine[held[np.searchsorted(keys, mine)]]
-            some = mine is not None and len(mine) > 0
-            out.append(
-                (doc, len(t), node if len(t) else None, mine.astype(np.int64) if some else None,
-                 t.tobytes() if some else None)
-            )
+        for doc, (t, node, text) in zip(rows.column("doc_id").to_pylist(), found):
+            prefix, index, body = by_node.pop(node, None), None, None
+            if prefix is not None and len(prefix):
+                known = held[np.searchsorted(keys, prefix)]
+                if known.sum() >= needed(len(t), percent):
+                    often = frequent[_slot(prefix)]
+                    index = index_keys(prefix, often, known, len(t), percent).astype(np.int64)
+                    body = b" ".join(text.lower().split())
+            out.append((doc, len(t), node if len(t) else None, index, body))
         return shared.table_of(out, FOUND_ARROW)
 
     asked = shared.ask(texts, about_keys, buckets)
@@ -158,7 +175,7 @@ def joined(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFra
     )
     members = found.where(F.col("keys").isNotNull()).select(F.explode("keys").alias("key"), "node").distinct()
     bodies = found.where(F.col("body").isNotNull()).groupBy("node").agg(F.first("body").alias("body"))
-    roots = links.link(members, cut_lineage(bodies), set_of, percent)
+    roots = links.link(members, cut_lineage(bodies), partial(tokens, n=n), percent)
     nodes = found.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     least = links.rooted(nodes, roots, "doc_id")
     rows = found.select("doc_id", "n_shingles", "node").join(least, "node", "left")
