@@ -19,11 +19,12 @@ from tidemark.functions.text import render_event, words
 from tidemark.functions.time import epoch_ms
 from tidemark.operators import lateness, parsing, patterns, reconcile, routing, running
 from tidemark.operators import tables, timers, topn, watermarks, windows
-from tidemark.session import fresh_path
-from tidemark.sources.events import clicks, stream_clicks, stream_table, table
+from tidemark.session import cut_lineage, fresh_path
+from tidemark.sources.events import clicks, staged_stream, stream_clicks, stream_table, table
 from tidemark.sources.text import lines_of
-from tidemark.streaming import processors, sinks
+from tidemark.streaming import sinks
 from tidemark.streaming.late import LateCounts
+from tidemark.streaming.running import RunningCounts
 
 HOUR = 3_600_000
 DAY = 24 * HOUR
@@ -84,7 +85,8 @@ def word_count(spark, folder):
 SELECT doc_id, pos::BIGINT AS pos, word,
   count(*) OVER (PARTITION BY word ORDER BY doc_id, pos)::BIGINT AS cnt FROM words""")
 def running_word_count(spark, folder):
-    return running.running_count(document_words(spark, folder), ["word"], ["doc_id", "pos"])
+    words = cut_lineage(document_words(spark, folder))  # read four times, tokenised once
+    return running.running_count(words, ["word"], ["doc_id", "pos"])
 
 
 # --- rows ----------------------------------------------------------------------
@@ -503,6 +505,20 @@ def sql_count(spark, folder):
     return tables.sql(spark, "SELECT `user`, count(url) AS cnt FROM {t} GROUP BY `user`", t=view)
 
 
+@query(f"""WITH {CLICKS}, copied AS (
+  SELECT "user", url, ts_ms, (ts_ms // {5 * HOUR} - k) * {5 * HOUR} AS window_start_ms
+  FROM clicks, (VALUES (0), (1)) AS t(k))
+SELECT "user", window_start_ms, window_start_ms + {10 * HOUR} AS window_end_ms,
+  avg(ts_ms - window_start_ms) AS mean_offset, count(DISTINCT url)::BIGINT AS kinds
+FROM copied WHERE ts_ms < window_start_ms + {10 * HOUR} GROUP BY 1, 2""")
+def window_custom_aggregate(spark, folder):
+    measures = {
+        "mean_offset": F.avg(F.col("ts_ms") - F.col(windows.START)),
+        "kinds": F.count_distinct("url"),
+    }
+    return windows.window_aggregate(clicks(spark, folder), ["user"], 10 * HOUR, 5 * HOUR, measures)
+
+
 # --- streams -------------------------------------------------------------------
 # Each runs over all input there is and gives back what it wrote.
 
@@ -522,15 +538,19 @@ def stream_pv_per_url(spark, folder):
 
 
 @query(f"""WITH {CLICKS}
-SELECT "user", count(*) OVER (PARTITION BY "user" ORDER BY seq)::BIGINT AS cnt FROM clicks""")
+SELECT seq, "user", count(*) OVER (PARTITION BY "user" ORDER BY seq)::BIGINT AS cnt FROM clicks""")
 def stream_running_count(spark, folder):
-    counted = processors.process(
-        stream_clicks(spark, folder).select("user", "seq"),
-        ["user"],
-        processors.RunningCount(["user"]),
-        "user bigint, cnt bigint",
-    )
-    return sinks.run_to_table(counted, "running-count")
+    counts = RunningCounts(fresh_path(spark, "running-count"), ["user"], ["seq"])
+    counts.start(staged_stream(clicks(spark, folder).select("user", "seq"), ["seq"], 4)).awaitTermination()
+    return counts.rows(spark).select("seq", "user", "cnt")
+
+
+@query(ORACLES["changelog_count"])
+def stream_changelog_count(spark, folder):
+    counts = RunningCounts(fresh_path(spark, "changelog"), ["user"], ["ts_ms", "seq"], counted="url")
+    counts.start(staged_stream(clicks(spark, folder), ["ts_ms", "seq"], 4)).awaitTermination()
+    hit = F.col("url").isNotNull().cast("bigint")
+    return running.changes_of(counts.rows(spark), ["ts_ms", "seq", "user"], hit)
 
 
 @query(f"""WITH {CLICKS}
@@ -547,11 +567,17 @@ def stream_split(spark, folder):
     return routing.union_all(*labelled)
 
 
-@query(f"""SELECT * FROM ({ORACLES["late_refire"]})
-WHERE firing = 'refire' OR window_end_ms + {2 * HOUR} <= (SELECT max(epoch_us(ts) // 1000) FROM events)""")
+@query(ORACLES["late_refire"])
 def stream_late_refire(spark, folder):
-    shift = F.pmod(F.col("seq") * 7919, F.lit(97)) * F.lit(900_000)
-    stream = stream_clicks(spark, folder).drop("ts").withColumn("arr", F.col("ts_ms") + shift)
+    rows = arrivals(spark, folder).select("arr", "seq", "user", "ts_ms")
+    sink = LateCounts(fresh_path(spark, "late"), ["user"], ARRIVAL, **LATE)
+    sink.start(staged_stream(rows, ARRIVAL, 3)).awaitTermination()
+    return sink.firings(spark).unionByName(sink.still_open(spark))
+
+
+@query(ORACLES["late_side_output"])
+def stream_late_side(spark, folder):
+    rows = arrivals(spark, folder)
     sink = LateCounts(fresh_path(spark, "late"), ["user"], ARRIVAL, **LATE)
-    sink.start(stream.select("arr", "seq", "user", "ts_ms")).awaitTermination()
-    return sink.firings(spark)
+    sink.start(staged_stream(rows, ARRIVAL, 3)).awaitTermination()
+    return sink.side(spark).select("seq", "user", "url", "ts_ms")

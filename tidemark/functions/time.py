@@ -21,7 +21,8 @@ def window_starts(ts_ms: Column, size_ms: int, slide_ms: int) -> Column:
     copies = -(-size_ms // slide_ms)
     if copies == 1 and slide_ms <= size_ms:
         return F.array(newest)
-    starts = F.array(*[newest - F.lit(i * slide_ms) for i in range(copies)])
+    steps = F.sequence(F.lit(0).cast("bigint"), F.lit(copies - 1).cast("bigint"))
+    starts = F.transform(steps, lambda i: newest - i * slide_ms)
     if size_ms % slide_ms == 0:
         return starts
     return F.filter(starts, lambda s: s > ts_ms - F.lit(size_ms))

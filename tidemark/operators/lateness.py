@@ -3,7 +3,8 @@
 A row is late for a window if some earlier arrival has already carried the
 watermark past the window's end. So instead of a running maximum over all rows,
 it is enough to know, for every window, the first arrival that closes it and the
-first that drops it: a table with one row per window. Rows meet that table in a
+first that drops it: a table with one row per window, made from cells as long as the
+greatest common divisor of all durations. Rows meet that table in a
 join on the window and are classified in place, with no sort or shuffle of rows.
 """
 
@@ -41,7 +42,7 @@ def window_deadlines(
     cell_ms = gcd(gcd(size_ms, slide_ms), gcd(delay_ms, lateness_ms))
     arrival = F.struct(*order)
     cells = cut_lineage(
-        df.groupBy(window_start(F.col("ts_ms"), cell_ms).alias("cell")).agg(
+        df.where(F.col("ts_ms").isNotNull()).groupBy(window_start(F.col("ts_ms"), cell_ms).alias("cell")).agg(
             F.min(arrival).alias("first")
         )
     )
@@ -75,13 +76,13 @@ def _by_window(df: DataFrame, deadlines: DataFrame) -> DataFrame:
     deadlines = cut_lineage(deadlines)
     if deadlines.count() <= BROADCAST_WINDOWS:
         deadlines = F.broadcast(deadlines)
-    return df.join(deadlines, START)
+    return df.join(deadlines, START, "left")
 
 
 def _class(order: Sequence[str]) -> Column:
     arrival = F.struct(*order)
     return (
-        F.when(F.col("__drops") < arrival, DROPPED)
+        F.when(F.col(START).isNull() | (F.col("__drops") < arrival), DROPPED)
         .when(F.col("__closes") < arrival, LATE)
         .otherwise(ON_TIME)
     )
@@ -95,10 +96,13 @@ def classify(
     delay_ms: int = 0,
     lateness_ms: int = 0,
 ) -> DataFrame:
-    """One row per row and window of it, with ``lateness``: on_time, late or dropped."""
+    """One row per row and window of it, with ``lateness``: on_time, late or dropped.
+
+    A row without time is in no window and counts as dropped.
+    """
     deadlines = window_deadlines(df, order, size_ms, slide_ms, delay_ms, lateness_ms)
     starts = window_starts(F.col("ts_ms"), size_ms, slide_ms or size_ms)
-    assigned = df.withColumn(START, F.explode(starts) if slide_ms else starts[0])
+    assigned = df.withColumn(START, F.explode_outer(starts) if slide_ms else starts[0])
     return _by_window(assigned, deadlines).withColumn(CLASS, _class(order)).drop(
         "__closes", "__drops"
     )
@@ -112,7 +116,7 @@ def side_output(
     delay_ms: int = 0,
     lateness_ms: int = 0,
 ) -> DataFrame:
-    """Rows that came too late for every window of theirs.
+    """Rows that came too late for every window of theirs, and rows without time.
 
     The newest window of a row is dropped last, so it alone decides.
     """

@@ -32,14 +32,16 @@ def parse_clicks(lines: DataFrame, *, strict: bool = True, keep: tuple[str, ...]
     nulls, so that it can be routed aside.
     """
     part = F.split("value", ",")
+    ts_ms = F.get(part, F.lit(2)).try_cast("bigint")
     if strict:
+        fail = F.raise_error(F.concat(F.lit("bad line: "), F.col("value"))).cast("bigint")
+        checked = F.when(F.col("value").isNotNull() & ts_ms.isNull(), fail).otherwise(ts_ms)
         return lines.select(
             *keep,
-            F.element_at(part, 1).alias("user"),
-            F.element_at(part, 2).alias("url"),
-            F.element_at(part, 3).cast("bigint").alias("ts_ms"),
+            F.get(part, F.lit(0)).alias("user"),
+            F.get(part, F.lit(1)).alias("url"),
+            checked.alias("ts_ms"),
         )
-    ts_ms = F.get(part, F.lit(2)).try_cast("bigint")
     return lines.select(
         *keep,
         "value",

@@ -31,9 +31,12 @@ def reconcile(
 ) -> DataFrame:
     """Each app order and payment once: matched within ``timeout_ms``, or failed.
 
-    Keys are unique per side (see :func:`latest_per_key`). On streams both sides
-    carry ``ts`` with a watermark; a row fails when the watermark passes its limit.
+    A later row of a key takes the place of an earlier one of its side
+    (:func:`latest_per_key`). On streams keys must be unique per side; both sides carry
+    ``ts`` with a watermark, and a row fails when the watermark passes its limit.
     """
+    if not app.isStreaming:
+        app, payment = latest_per_key(app, key), latest_per_key(payment, key)
     a, p = app.alias("a"), payment.alias("p")
     same = F.col(f"a.{key}") == F.col(f"p.{key}")
     if app.isStreaming:

@@ -113,14 +113,19 @@ def changelog_count(
         [user],
         chunk_rows=chunk_rows,
     )
+    return changes_of(counts.withColumnsRenamed({"__n": "n", "__cnt": "cnt"}), [*order, user], hit)
+
+
+def changes_of(counts: DataFrame, columns: Sequence[str], hit: Column) -> DataFrame:
+    """Changes from running ``n`` and ``cnt``: ``columns, row_kind, cnt``."""
     change = lambda kind, cnt: F.struct(F.lit(kind).alias("row_kind"), cnt.alias("cnt"))
-    new = F.col("__cnt")
+    new = F.col("cnt")
     changes = (
-        F.when(F.col("__n") == 1, F.array(change("+I", new)))
+        F.when(F.col("n") == 1, F.array(change("+I", new)))
         .when(hit == 1, F.array(change("-U", new - 1), change("+U", new)))
     )
-    return counts.select(*order, user, F.explode(changes).alias("__c")).select(
-        *order, user, "__c.row_kind", "__c.cnt"
+    return counts.select(*columns, F.explode(changes).alias("__c")).select(
+        *columns, "__c.row_kind", "__c.cnt"
     )
 
 

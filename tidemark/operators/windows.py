@@ -39,13 +39,18 @@ def window_aggregate(
     keys: Sequence[str],
     size_ms: int,
     slide_ms: int | None = None,
-    measures: Mapping[str, tuple[str, str]] = PAGE_VIEWS,
+    measures: Mapping[str, tuple[str, str] | Column] = PAGE_VIEWS,
 ) -> DataFrame:
-    """Reduce each window of each key: ``measures`` maps a name to (count|sum|min|max, column).
+    """Reduce each window of each key: ``measures`` maps a name to (count|sum|min|max, column)
+    or to any aggregate, built-in or a grouped-aggregate UDF.
 
     Gives ``keys``, the measures and the window bounds. With no key, one row per window.
+    Panes are used where totals are known to merge; any other aggregate sees the rows of
+    each window, copied once per window they lie in.
     """
     keys = list(keys)
+    if any(isinstance(m, Column) for m in measures.values()):
+        return _any_aggregate(df, keys, size_ms, slide_ms, measures)
     if df.isStreaming:
         aggs = [_FIRST[kind](column).alias(n) for n, (kind, column) in measures.items()]
         windowed = df.groupBy(*keys, _time_column(size_ms, slide_ms).alias("window")).agg(*aggs)
@@ -68,6 +73,18 @@ def window_aggregate(
     return totals.select(*keys, START, (F.col(START) + size_ms).alias(END), *measures)
 
 
+def _any_aggregate(df, keys, size_ms, slide_ms, measures) -> DataFrame:
+    aggs = [
+        (m if isinstance(m, Column) else _FIRST[m[0]](m[1])).alias(n) for n, m in measures.items()
+    ]
+    if df.isStreaming:
+        windowed = df.groupBy(*keys, _time_column(size_ms, slide_ms).alias("window")).agg(*aggs)
+        return windowed.select(*keys, *_bounds(), *measures)
+    starts = window_starts(F.col("ts_ms"), size_ms, slide_ms or size_ms)
+    totals = df.withColumn(START, F.explode(starts)).groupBy(*keys, START).agg(*aggs)
+    return totals.select(*keys, START, (F.col(START) + size_ms).alias(END), *measures)
+
+
 def page_and_visitor_counts(
     df: DataFrame, user: str, size_ms: int, slide_ms: int | None = None
 ) -> DataFrame:

@@ -6,7 +6,8 @@ table) in one task. Here the order is cut into chunks at quantiles of a bounded
 sample, and the chunk of a row is a pure function of its values: every branch of
 a plan, and every retry of a task, computes the same chunk.
 
-The sample steers balance only. Whatever it holds, results are exact.
+The sample steers balance only. Whatever it holds, results are exact: cuts and rows
+are compared as integers.
 """
 
 from __future__ import annotations
@@ -21,68 +22,121 @@ from pyspark.sql import functions as F
 CHUNK = "__chunk"
 CHUNK_ROWS = 1_000_000
 SMALL_CHUNK_ROWS = 1_000
-MAX_CHUNKS = 20_000
+MAX_CHUNKS = 100_000
 SAMPLE_PER_CHUNK = 20
 
 
 @dataclass(frozen=True)
 class Chunks:
-    """Chunk borders over ``order`` and, for keyed scans, the hashes of hot keys."""
+    """Cuts of ``order`` and, for keyed scans, the hashes of hot keys.
+
+    A cut is a value of the order columns that begins a chunk, so there is one chunk
+    more than cuts, numbered without gaps.
+    """
 
     order: tuple[str, ...]
     keys: tuple[str, ...]
-    borders: tuple[float, ...] = ()
-    heavy: tuple[int, ...] = ()
-    tie_borders: tuple[float, ...] = ()
+    cuts: tuple[tuple[int, ...], ...] = ()
     hot: tuple[int, ...] = ()
     rows: int = 0
 
     @property
     def split(self) -> bool:
         """False when a plain window is the better plan: no hot key, or few rows in all."""
-        return bool(self.hot) if self.keys else bool(self.borders)
+        return bool(self.hot) if self.keys else bool(self.cuts)
 
     def place(self, df: DataFrame) -> DataFrame:
-        """One task per chunk; by hash where a heavy value makes chunk ids sparse."""
-        if self.heavy:
-            return df.repartition(CHUNK)
-        return df.repartitionById(len(self.borders) + 1, F.col(CHUNK))
+        """One task per chunk."""
+        return df.repartitionById(len(self.cuts) + 1, F.col(CHUNK))
 
     def is_hot(self) -> Column:
         keys = ", ".join(f"`{k}`" for k in self.keys)
         return _among(f"xxhash64({keys})", self.hot)
 
     def assign(self, df: DataFrame) -> DataFrame:
-        """Add ``__chunk``: increasing along the order, 0 for keys that are not hot."""
-        with_bucket, bucket = _bucket(df, self.order[0], self.borders, "__b0")
-        chunk = bucket
-        if self.heavy:
-            # A value that fills several chunks is cut by the tie-break column; rows
-            # above that value in the same bucket come after all of its pieces.
-            with_bucket, tie = _bucket(with_bucket, self.order[1], self.tie_borders, "__b1")
-            last = len(self.tie_borders) + 1
-            piece = F.when(_among(f"`{self.order[0]}`", self.heavy), tie).otherwise(last)
-            chunk = bucket * F.lit(last + 1) + piece
+        """Add ``__chunk``: the number of cuts at or below the row, 0 for keys not hot."""
+        placed, chunk = _cuts_below(df, self.order, self.cuts)
         if self.keys:
             chunk = F.when(self.is_hot(), chunk + 1).otherwise(0)
-        return with_bucket.withColumn(CHUNK, chunk.cast("int")).drop("__b0", "__b1")
+        return placed.withColumn(CHUNK, chunk.cast("int")).drop("__bucket")
 
 
 def _among(value: str, numbers: Sequence[int]) -> Column:
     """``value IN (...)`` as text, which stays quick to build for thousands of numbers."""
     if not numbers:
         return F.lit(False)
-    return F.expr(f"{value} IN ({', '.join(f'{n}L' for n in numbers)})")
+    return F.expr(f"{value} IN ({', '.join(_long(n) for n in numbers)})")
+
+
+def _long(n: int) -> str:
+    return f"{n}L" if n > -(1 << 63) else "(-9223372036854775807L - 1L)"
 
 
-def _bucket(
-    df: DataFrame, column: str, borders: Sequence[float], name: str
+def _cuts_below(
+    df: DataFrame, order: Sequence[str], cuts: Sequence[tuple[int, ...]]
 ) -> tuple[DataFrame, Column]:
-    if not borders:
+    """How many cuts are at or below the row, compared as integers.
+
+    A binary search over the cuts as doubles comes first. Rounding keeps the order, so
+    only the cuts that round to the border right below the row are left to compare.
+    There are many of them only where one value fills many chunks; they lie in blocks
+    of the square root of their number, so two short scans find the place.
+    """
+    if not cuts:
         return df, F.lit(0)
-    splits = [float("-inf"), *borders, float("inf")]
-    bucketizer = Bucketizer(splits=splits, inputCol=column, outputCol=name)
-    return bucketizer.transform(df), F.col(name).cast("int")
+    near: dict[float, list[tuple[int, ...]]] = {}
+    for cut in cuts:
+        near.setdefault(float(cut[0]), []).append(cut)
+    borders = sorted(near)
+    block = max(1, round(max(len(c) for c in near.values()) ** 0.5))
+    before, total = [], 0
+    for border in borders:
+        before.append(total)
+        total += len(near[border])
+
+    def nested(i: int) -> Column:
+        groups = []
+        for border in borders:
+            held = near[border]
+            blocks = [held[k : k + block] for k in range(0, len(held), block)]
+            groups.append("array(" + ", ".join("array(" + ", ".join(_long(c[i]) for c in b) + ")" for b in blocks) + ")")
+        return F.expr("array(" + ", ".join(groups) + ")")
+
+    bucketizer = Bucketizer(
+        splits=[float("-inf"), *borders, float("inf")], inputCol=order[0], outputCol="__bucket"
+    )
+    placed = bucketizer.transform(df)
+    at = F.greatest(F.col("__bucket").cast("int"), F.lit(1))
+    row = [F.col(c).cast("bigint") for c in order]
+    values = [F.element_at(nested(i), at) for i in range(len(order))]
+
+    def reached(*cut: Column) -> Column:
+        out = cut[-1] <= row[-1]
+        for c, r in zip(cut[-2::-1], row[-2::-1]):
+            out = (c < r) | ((c == r) & out)
+        return out
+
+    if len(order) == 1:
+        firsts = F.transform(values[0], lambda b: F.element_at(b, 1))
+        blocks_below = F.size(F.filter(firsts, lambda c: reached(c)))
+        within = F.size(F.filter(F.element_at(values[0], F.greatest(blocks_below, F.lit(1))), lambda c: reached(c)))
+    else:
+        firsts = F.zip_with(
+            *values, lambda a, b: F.struct(F.element_at(a, 1).alias("a"), F.element_at(b, 1).alias("b"))
+        )
+        blocks_below = F.size(F.filter(firsts, lambda c: reached(c["a"], c["b"])))
+        spot = F.greatest(blocks_below, F.lit(1))
+        one = F.zip_with(
+            F.element_at(values[0], spot),
+            F.element_at(values[1], spot),
+            lambda a, b: F.struct(a.alias("a"), b.alias("b")),
+        )
+        within = F.size(F.filter(one, lambda c: reached(c["a"], c["b"])))
+    counts = F.expr("array(" + ", ".join(map(str, before)) + ")")
+    chunk = F.element_at(counts, at) + F.when(blocks_below == 0, 0).otherwise(
+        (blocks_below - 1) * block + within
+    )
+    return placed, F.when(F.col("__bucket") < 1, 0).otherwise(chunk)
 
 
 def plan_chunks(
@@ -128,15 +182,7 @@ def plan_chunks(
         if not hot:
             return Chunks(order, keys, rows=total)
 
-    ordered = sample[["o0", "o1"]].sort_values(["o0", "o1"], ignore_index=True)
-    steps = [len(ordered) * i // wanted for i in range(1, wanted)]
-    cuts = ordered.iloc[sorted({s for s in steps if s > 0})]
-    borders = tuple(sorted({float(v) for v in cuts["o0"]}))
-    heavy: tuple[int, ...] = ()
-    tie_borders: tuple[float, ...] = ()
-    if len(order) > 1:
-        repeats = cuts["o0"].value_counts()
-        heavy = tuple(int(v) for v in repeats[repeats > 1].index)
-        tied = cuts[cuts["o0"].isin(heavy)]
-        tie_borders = tuple(sorted({float(v) for v in tied["o1"]}))
-    return Chunks(order, keys, borders, heavy, tie_borders, hot, total)
+    picks = sorted(zip(sample["o0"].tolist(), sample["o1"].tolist()))
+    steps = sorted({len(picks) * i // wanted for i in range(1, wanted)} - {0})
+    cuts = sorted({picks[s][: len(order)] for s in steps})
+    return Chunks(order, keys, tuple(cuts), hot, total)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -36,8 +37,8 @@ def local_session(app: str = "tidemark", cpus: int | str = 8, **conf: str) -> Sp
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors reach, from ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a test on one machine) gets a
-    temporary folder.
+    Only a session on one machine may do without that setting; it gets a temporary
+    folder. On a cluster such a folder would not be shared.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
@@ -47,6 +48,8 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     current = context._jsc.sc().getCheckpointDir()
     if current.isEmpty():
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
         current = context._jsc.sc().getCheckpointDir()
     return current.get()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.time import epoch_ms
+from tidemark.session import fresh_path
 
 
 def from_elements(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
@@ -55,3 +56,28 @@ def with_event_time(df: DataFrame, delay: str | None = None) -> DataFrame:
     """Add ``ts`` from ``ts_ms``; on a stream also its watermark, ``delay`` behind."""
     timed = df.withColumn("ts", F.timestamp_millis("ts_ms"))
     return timed.withWatermark("ts", delay) if delay and df.isStreaming else timed
+
+
+def staged_stream(
+    df: DataFrame, order: Sequence[str], batches: int = 3, files_per_batch: int = 1
+) -> DataFrame:
+    """``df`` as a stream that comes in several micro-batches, along ``order``.
+
+    The rows are cut at quantiles of the first order column and written to the shared
+    folder batch after batch; the stream takes the files in the order they were written.
+    """
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, "staged")
+    steps = [i / batches for i in range(1, batches)]
+    (cuts,) = df.agg(F.percentile_approx(order[0], steps)).first()
+    cuts = sorted(set(cuts or []))
+    part = sum((F.when(F.col(order[0]) >= c, 1).otherwise(0) for c in cuts), F.lit(0))
+    rows = df.withColumn("__part", part).persist()
+    try:
+        for i in range(len(cuts) + 1):
+            rows.where(F.col("__part") == i).drop("__part").repartition(files_per_batch).write.parquet(
+                f"{path}/{i:03d}"
+            )
+    finally:
+        rows.unpersist()
+    reader = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(f"{path}/*")

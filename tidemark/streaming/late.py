@@ -163,8 +163,10 @@ class LateCounts:
         """Rows that came too late."""
         return spark.read.parquet(f"{self.path}/side").drop(BATCH)
 
-    def still_open(self, spark: SparkSession, last_batch: int) -> DataFrame:
+    def still_open(self, spark: SparkSession, last_batch: int | None = None) -> DataFrame:
         """What the windows not yet closed would give if the stream ended now."""
+        if last_batch is None:
+            last_batch = spark.read.parquet(f"{self.path}/reached").agg(F.max(BATCH)).first()[0]
         windows = spark.read.parquet(self._folder("windows", last_batch))
         return windows.where(~F.col("fired") & (F.col("on_time") > 0)).select(
             *self.keys,
