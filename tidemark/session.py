@@ -13,6 +13,9 @@ ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
 
+#: Shuffle files go when their query ends, not when the driver next collects garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(app: str = "tidemark", cpus: int | str = 8, **conf: str) -> SparkSession:
     """A local session for tests and the benchmark; a cluster brings its own."""
@@ -64,9 +67,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Later passes read only the columns they need, and a lost executor cannot force
-    a re-run of what came before.
+    a re-run of what came before. Its shuffle files go once it is written.
     """
     spark = df.sparkSession
     path = fresh_path(spark, "table")
-    df.write.parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
