@@ -10,7 +10,8 @@ What is frequent is read from counts over all documents, in a table of fixed siz
 token whose slot is far above the mean. That steers cost, never results. With a longer
 prefix a linked pair shares more of it, about half at twice the prefix. So each document
 first asks which tokens of its longer prefix others hold in theirs, and only those with
-enough of them go on. The groups that stay are verified exactly and joined in ``links``.
+enough of them go on. Index keys are parted by set size, which in linked pairs is within
+the threshold's ratio. The groups that stay are verified exactly and joined in ``links``.
 Copies with one set are one node.
 
 Defined cases: null or blank text has an empty set and is linked with nothing; a text
@@ -164,7 +165,8 @@ def joined(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFra
                 known = held[np.searchsorted(keys, prefix)]
                 if known.sum() >= needed(len(t), percent):
                     often = frequent[_slot(prefix)]
-                    index = index_keys(prefix, often, known, len(t), percent).astype(np.int64)
+                    index = index_keys(prefix, often, known, len(t), percent)
+                    index = links.sized(index, len(t), percent).astype(np.int64)
                     body = b" ".join(text.lower().split())
             out.append((doc, len(t), node if len(t) else None, index, body))
         return shared.table_of(out, FOUND_ARROW)

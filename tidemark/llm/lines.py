@@ -3,7 +3,7 @@
 A line is compared in lower case with runs of blanks as one. Its set is its distinct
 8-byte shingles; lines match from a Jaccard similarity of 0.8 on. Signatures of 32
 minima in 8 bands of 4 bring candidates together: a pair at 0.8 shares a band with
-chance 0.985, one at 0.9 with 0.9997. Candidates are compared exactly, and matching
+chance 0.985, one at 0.9 with 0.9997. Candidates of like set size are compared exactly, and matching
 lines joined to components (``links``). The first line of each component, by doc_id and
 place, stays; the others go.
 
@@ -18,7 +18,6 @@ carried.
 
 from __future__ import annotations
 
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -34,6 +33,8 @@ GRAM = 8
 BANDS, ROWS = 8, 4
 PERCENT = 80
 PART_BYTES = 256 << 10
+#: Kind of the row in which a batch keeps the band values of its lines for the next pass.
+KEPT = -1
 _SYMBOLS = shared.mixed(np.arange(1, 257, dtype=np.uint64))
 _DRAW = np.random.default_rng(41)
 _FLIP = _DRAW.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
@@ -109,6 +110,10 @@ class Lines:
         self.nodes = [xxhash.xxh3_128_digest(b) for b in self.bodies]
         self.names = np.array([int.from_bytes(n[:8], "little") for n in self.nodes], np.uint64)
 
+    def by_node(self) -> list[int]:
+        """The numbers of the lines by digest: one order in each pass, whatever the rows' order."""
+        return sorted(range(len(self.nodes)), key=self.nodes.__getitem__)
+
 
 def _rows(docs: DataFrame):
     owner = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
@@ -125,13 +130,17 @@ def cleaned(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         lines = Lines(rows.column("text").to_pylist(), rows.column("owner").to_pylist())
         keys = band_keys(lines.bodies)
         distinct = np.unique(np.concatenate([keys[keys != 0], lines.names]))
-        return shared.request_rows(batch, HELD, buckets, distinct)
+        kept = keys[lines.by_node()].tobytes()
+        return [*shared.request_rows(batch, HELD, buckets, distinct), (batch, -1, KEPT, kept, None, None, None)]
 
     def candidates(key: tuple[pa.Scalar, ...], rows: pa.Table, told: pa.Table) -> pa.Table:
         lines = Lines(rows.column("text").to_pylist(), rows.column("owner").to_pylist())
-        keys = band_keys(lines.bodies)
+        told = told.to_pylist()
+        keys = np.zeros((len(lines.bodies), BANDS), np.uint64)
+        for kept in [r["bits"] for r in told if r["kind"] == KEPT]:
+            keys[lines.by_node()] = np.frombuffer(kept, np.uint64).reshape(-1, BANDS)
         distinct, counts = np.unique(np.concatenate([keys[keys != 0], lines.names]), return_counts=True)
-        held = shared.read_bits(told.to_pylist(), HELD, buckets, distinct)[0] | (counts > 1)
+        held = shared.read_bits(told, HELD, buckets, distinct)[0] | (counts > 1)
         shared_band = (keys != 0) & held[np.minimum(np.searchsorted(distinct, keys), len(distinct) - 1)] if len(
             distinct
         ) else keys != 0
@@ -139,12 +148,20 @@ def cleaned(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         some = shared_band.any(axis=1)
         out = []
         for i in np.flatnonzero(again | some).tolist():
-            mine = keys[i][shared_band[i]].astype(np.int64) if some[i] else None
+            mine = None
+            if some[i]:
+                size = len(shingles(lines.bodies[i]))
+                mine = links.sized(keys[i][shared_band[i]], size, percent).astype(np.int64)
             owner, place = lines.first[i]
             out.append((key[0].as_py(), lines.nodes[i], owner, place, mine, lines.bodies[i] if some[i] else None))
         return shared.table_of(out, FOUND_ARROW)
 
-    asked = shared.ask(texts, about_lines, buckets)
+    def ask(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        return shared.table_of(about_lines(key[0].as_py(), rows), shared.REQUEST_ARROW)
+
+    requests = cut_lineage(texts.groupBy("batch").applyInArrow(ask, shared.REQUEST))
+    kept = requests.where(F.col("kind") == KEPT).select("batch", "bucket", "kind", F.col("keys").alias("bits"), "note")
+    asked = shared.answers(requests.where(F.col("kind") == HELD)).unionByName(kept)
     found = cut_lineage(
         texts.groupBy("batch").cogroup(asked.groupBy("batch")).applyInArrow(candidates, FOUND)
     )

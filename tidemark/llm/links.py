@@ -1,7 +1,7 @@
 """Verify candidate groups and join what is linked, without all pairs of a group.
 
-A group (a key) has a hub, the member that shares most keys. Members are compared with
-the hub alone, exactly. Groups whose members then are of one component are done. In the
+Small groups (keys) are compared pair by pair. A larger one has a hub, the member that
+shares most keys; its members are compared with the hub alone, exactly. Groups whose members then are of one component are done. In the
 others, a pair may still be linked that the hub does not join. Write D(x) for the tokens
 in which x differs from the hub. If x and y are linked and y is not linked to the hub,
 then D(x) and D(y) share a token: |D(x)| + |D(y)| is above the difference that a linked
@@ -27,12 +27,25 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import mixed
 from tidemark.session import cut_lineage
 
-#: Later groups of at most so many members are compared pair by pair.
+#: Groups of at most so many members are compared pair by pair.
 SMALL = 24
+#: Sets that a worker holds for the pairs to come.
+KNOWN = 256
+_CLASS = np.uint64(0x9FB21C651E98DF25)
 #: Rounds of hubs; what is left after them is compared pair by pair.
 ROUNDS = 8
 
 
+def sized(keys: np.ndarray, size: int, percent: int) -> np.ndarray:
+    """``keys`` for sets of about ``size`` tokens. Linked sets differ in size by at most
+    ``percent``, so they are of one size class or of neighbouring ones; each set has the
+    keys of its class and of the next."""
+    # A hair wider than the ratio, so that rounding parts no pair.
+    step = np.log(100 / percent) * (1 + 1e-9) + 1e-12
+    place = int(np.log(max(size, 1)) / step)
+    return np.concatenate([mixed(keys + np.uint64(c) * _CLASS) for c in (place, place + 1)])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, root`` of the nodes in ``edges`` (``a, b``); the root is the least node."""
     current = cut_lineage(
@@ -64,11 +77,13 @@ def _verify(set_of: Callable[[bytes], np.ndarray], percent: int):
             linked, again = [], []
             known: dict[bytes, np.ndarray] = {}
             for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x = set_of(left)
-                hub = known.get(right)
-                if hub is None:
-                    known = {right: set_of(right)}
-                    hub = known[right]
+                for body in (left, right):
+                    if body not in known:
+                        if len(known) == KNOWN:
+                            known.clear()
+                        known[body] = set_of(body)
+                x, hub = known.get(left), known[right]
+                x = set_of(left) if x is None else x
                 common = np.intersect1d(x, hub, assume_unique=True)
                 union = len(x) + len(hub) - len(common)
                 linked.append(100 * len(common) >= percent * union)
@@ -124,8 +139,7 @@ def link(
         if groups.isEmpty():
             break
         sizes = groups.groupBy("key").agg(F.count("*").alias("n"))
-        # At first most groups are copies of one text, which a hub settles in one go.
-        few = 0 if turn == 0 else SMALL if turn < ROUNDS else None
+        few = SMALL if turn < ROUNDS else None
         shares = groups.groupBy("node").agg(F.count("*").alias("shares"))
         many = sizes.where(F.col("n") > few) if few is not None else sizes.limit(0)
         hubs = (
@@ -137,14 +151,12 @@ def link(
         )
         pairs = groups.join(hubs, "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
         told = cut_lineage(compared(pairs, bodies, set_of, percent))
-        found = told.where("linked").select("a", "b")
-        if turn:
-            small = groups if few is None else groups.join(sizes.where(F.col("n") <= few), "key", "left_semi")
-            other = small.select("key", F.col("node").alias("b"), F.col("root").alias("other"))
-            rest = small.join(other, "key").where("node < b AND root <> other")
-            rest = rest.select(F.col("node").alias("a"), "b").distinct()
-            late = compared(rest, bodies, set_of, percent).where("linked").select("a", "b")
-            found = cut_lineage(found.unionByName(late))
+        small = groups if few is None else groups.join(sizes.where(F.col("n") <= few), "key", "left_semi")
+        other = small.select("key", F.col("node").alias("b"), F.col("root").alias("other"))
+        rest = small.join(other, "key").where("node < b AND root <> other")
+        rest = rest.select(F.col("node").alias("a"), "b").distinct()
+        late = compared(rest, bodies, set_of, percent).where("linked").select("a", "b")
+        found = cut_lineage(told.where("linked").select("a", "b").unionByName(late))
         if roots is None or not found.isEmpty():
             edges.append(found)
             roots = cut_lineage(components(reduce(DataFrame.unionByName, edges)))
@@ -156,6 +168,8 @@ def link(
         )
         rest = rest.select(F.xxhash64("b", "token").alias("key"), F.col("a").alias("node")).distinct()
         groups = cut_lineage(_mixed_groups(rest, roots))
+        # Later turns look at the texts of what is left only.
+        bodies = cut_lineage(bodies.join(groups.select("node").distinct(), "node", "left_semi"))
     return roots
 
 
