@@ -12,12 +12,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import render_event, words
 from tidemark.functions.time import epoch_ms
-from tidemark.operators import lateness, parsing, patterns, reconcile, routing, running
+from tidemark.operators import accumulators, lateness, parsing, patterns, reconcile, routing, running
 from tidemark.operators import tables, timers, topn, watermarks, windows
 from tidemark.session import cut_lineage, fresh_path
 from tidemark.sources.events import clicks, staged_stream, stream_clicks, stream_table, table
@@ -519,6 +521,35 @@ def window_custom_aggregate(spark, folder):
     return windows.window_aggregate(clicks(spark, folder), ["user"], 10 * HOUR, 5 * HOUR, measures)
 
 
+@query(f"""WITH {_windowed(10, 2)}
+SELECT url, window_start_ms, window_end_ms, count(*)::BIGINT AS pv, count(DISTINCT "user")::BIGINT AS uv
+FROM windowed GROUP BY ALL""")
+def window_user_aggregate(spark, folder):
+    visitors = accumulators.ViewsAndVisitors("user")
+    rows = clicks(spark, folder)
+    return accumulators.window_accumulate(rows, ["url"], 10 * HOUR, visitors, 2 * HOUR, ["user"])
+
+
+@query(f"""WITH {_windowed(10, 5)}, spaced AS (
+  SELECT *, ts_ms - lag(ts_ms) OVER (PARTITION BY window_start_ms ORDER BY ts_ms, seq) AS gap FROM windowed)
+SELECT window_start_ms, window_end_ms, count(DISTINCT "user")::BIGINT AS uv,
+  coalesce(max(gap), 0)::BIGINT AS longest_gap FROM spaced GROUP BY ALL""")
+def window_process(spark, folder):
+    def visitors_and_gap(window, batches):
+        users, last, longest = set(), None, 0
+        for batch in batches:
+            users.update(pc.unique(batch.column("user")).to_pylist())
+            for ts in batch.column("ts_ms").to_pylist():
+                longest = max(longest, ts - (ts if last is None else last))
+                last = ts
+        yield pa.RecordBatch.from_pydict({"uv": [len(users)], "longest_gap": [longest]})
+
+    rows = clicks(spark, folder).select("user", "seq", "ts_ms")
+    return accumulators.process_windows(
+        rows, [], 10 * HOUR, visitors_and_gap, "uv bigint, longest_gap bigint", 5 * HOUR, ["ts_ms", "seq"]
+    )
+
+
 # --- streams -------------------------------------------------------------------
 # Each runs over all input there is and gives back what it wrote.
 
