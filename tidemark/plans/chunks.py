@@ -12,9 +12,12 @@ are compared as integers.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
+from math import isqrt
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,8 +25,12 @@ from pyspark.sql import functions as F
 CHUNK = "__chunk"
 CHUNK_ROWS = 1_000_000
 SMALL_CHUNK_ROWS = 1_000
-MAX_CHUNKS = 100_000
+MANY_CHUNKS = 100_000
 SAMPLE_PER_CHUNK = 20
+#: Handing a border to the first search costs the driver time; the second search has the rest.
+BORDERS = 4096
+#: Takes the place of a null in a cut.
+LEAST = -(1 << 63)
 
 
 @dataclass(frozen=True)
@@ -72,35 +79,32 @@ def _long(n: int) -> str:
     return f"{n}L" if n > -(1 << 63) else "(-9223372036854775807L - 1L)"
 
 
+def _numbers(values: Iterable[int]) -> Column:
+    """A constant array, written as one text that the optimizer folds once: quick to plan
+    for any number of values."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
 def _cuts_below(
     df: DataFrame, order: Sequence[str], cuts: Sequence[tuple[int, ...]]
 ) -> tuple[DataFrame, Column]:
     """How many cuts are at or below the row, compared as integers.
 
-    A binary search over the cuts as doubles comes first. Rounding keeps the order, so
-    only the cuts that round to the border right below the row are left to compare.
-    There are many of them only where one value fills many chunks; they lie in blocks
-    of the square root of their number, so two short scans find the place.
+    A binary search over at most ``BORDERS`` of them, as doubles, comes first. Rounding
+    keeps the order, so only the cuts from the border right below the row up to the next
+    one are left to compare. That is one, unless there are many cuts or one value fills
+    many chunks; then a second search finds the place.
     """
     if not cuts:
         return df, F.lit(0)
-    near: dict[float, list[tuple[int, ...]]] = {}
-    for cut in cuts:
-        near.setdefault(float(cut[0]), []).append(cut)
-    borders = sorted(near)
-    block = max(1, round(max(len(c) for c in near.values()) ** 0.5))
-    before, total = [], 0
-    for border in borders:
-        before.append(total)
-        total += len(near[border])
-
-    def nested(i: int) -> Column:
-        groups = []
-        for border in borders:
-            held = near[border]
-            blocks = [held[k : k + block] for k in range(0, len(held), block)]
-            groups.append("array(" + ", ".join("array(" + ", ".join(_long(c[i]) for c in b) + ")" for b in blocks) + ")")
-        return F.expr("array(" + ", ".join(groups) + ")")
+    borders, starts = [], []
+    for i, cut in enumerate(cuts):
+        if not borders or float(cut[0]) > borders[-1]:
+            borders.append(float(cut[0]))
+            starts.append(i)
+    every = -(-len(borders) // BORDERS)
+    borders, starts = borders[::every], [*starts[::every], len(cuts)]
+    widest = max(b - a for a, b in zip(starts, starts[1:]))
 
     bucketizer = Bucketizer(
         splits=[float("-inf"), *borders, float("inf")], inputCol=order[0], outputCol="__bucket"
@@ -108,35 +112,44 @@ def _cuts_below(
     placed = bucketizer.transform(df)
     at = F.greatest(F.col("__bucket").cast("int"), F.lit(1))
     row = [F.col(c).cast("bigint") for c in order]
-    values = [F.element_at(nested(i), at) for i in range(len(order))]
+    values = [_numbers(cut[i] for cut in cuts) for i in range(len(order))]
 
-    def reached(*cut: Column) -> Column:
+    def reached(place: Column) -> Column:
+        cut = [F.get(v, place) for v in values]
         out = cut[-1] <= row[-1]
         for c, r in zip(cut[-2::-1], row[-2::-1]):
             out = (c < r) | ((c == r) & out)
-        return out
+        return F.coalesce(out, F.lit(False))
 
-    if len(order) == 1:
-        firsts = F.transform(values[0], lambda b: F.element_at(b, 1))
-        blocks_below = F.size(F.filter(firsts, lambda c: reached(c)))
-        within = F.size(F.filter(F.element_at(values[0], F.greatest(blocks_below, F.lit(1))), lambda c: reached(c)))
+    first = F.get(_numbers(starts), at - 1)
+    if widest == 1:
+        below = first + reached(first.cast("int")).cast("bigint")
     else:
-        firsts = F.zip_with(
-            *values, lambda a, b: F.struct(F.element_at(a, 1).alias("a"), F.element_at(b, 1).alias("b"))
-        )
-        blocks_below = F.size(F.filter(firsts, lambda c: reached(c["a"], c["b"])))
-        spot = F.greatest(blocks_below, F.lit(1))
-        one = F.zip_with(
-            F.element_at(values[0], spot),
-            F.element_at(values[1], spot),
-            lambda a, b: F.struct(a.alias("a"), b.alias("b")),
+        ends = F.struct(first.alias("low"), F.get(_numbers(starts), at).alias("high"))
+        below = F.aggregate(
+            F.sequence(F.lit(1), F.lit(widest.bit_length())),
+            ends,
+            lambda held, _: _halved(held, reached),
+            lambda held: held["low"],
         )
-        within = F.size(F.filter(one, lambda c: reached(c["a"], c["b"])))
-    counts = F.expr("array(" + ", ".join(map(str, before)) + ")")
-    chunk = F.element_at(counts, at) + F.when(blocks_below == 0, 0).otherwise(
-        (blocks_below - 1) * block + within
-    )
-    return placed, F.when(F.col("__bucket") < 1, 0).otherwise(chunk)
+    # Rows without a place in the order come first.
+    outside = F.col(order[0]).isNull() | (F.col("__bucket") < 1)
+    return placed, F.when(outside, 0).otherwise(below)
+
+
+def _halved(held: Column, reached: Callable[[Column], Column]) -> Column:
+    """One step of a binary search for the first place that is not ``reached``."""
+    middle = F.shiftright(held["low"] + held["high"], 1)
+    left = F.struct(held["low"].alias("low"), middle.alias("high"))
+    right = F.struct((middle + 1).alias("low"), held["high"].alias("high"))
+    return F.when(held["low"] >= held["high"], held).when(reached(middle.cast("int")), right).otherwise(left)
+
+
+def chunk_count(rows: int, chunk_rows: int) -> int:
+    """Chunks for so many rows. Beyond ``MANY_CHUNKS`` of them, their number and their size
+    grow alike, as the square root of the rows."""
+    count = -(-rows // chunk_rows)
+    return isqrt(count * MANY_CHUNKS) if count > MANY_CHUNKS else count
 
 
 def plan_chunks(
@@ -148,15 +161,15 @@ def plan_chunks(
 ) -> Chunks:
     """Choose chunk borders for ``df`` from its row count and a bounded sample.
 
-    ``order`` is one or two BIGINT columns that put the rows in a total order.
-    With ``keys``, only keys with about ``chunk_rows`` rows or more are cut.
-    Collects at most about ``MAX_CHUNKS * SAMPLE_PER_CHUNK`` pairs of numbers.
+    ``order`` is one or two BIGINT columns that put the rows in a total order, nulls first.
+    With ``keys``, only keys with about ``chunk_rows`` rows or more are cut. Collects about
+    ``SAMPLE_PER_CHUNK`` triples of numbers per chunk, fewer from ``MANY_CHUNKS`` on.
     """
     order, keys = tuple(order), tuple(keys)
     spark = df.sparkSession
     chunk_rows = chunk_rows or CHUNK_ROWS
     total = df.count() if rows is None else rows
-    wanted = min(MAX_CHUNKS, -(-total // chunk_rows))
+    wanted = chunk_count(total, chunk_rows)
     if not keys:
         wanted = max(wanted, min(total // SMALL_CHUNK_ROWS, spark.sparkContext.defaultParallelism))
     if wanted <= 1:
@@ -165,24 +178,27 @@ def plan_chunks(
     picked = df.select(
         (F.xxhash64(*keys) if keys else F.lit(0).cast("long")).alias("h"),
         F.col(order[0]).cast("long").alias("o0"),
-        F.col(order[-1]).cast("long").alias("o1"),
+        F.coalesce(F.col(order[-1]).cast("long"), F.lit(LEAST)).alias("o1"),
     )
-    fraction = wanted * SAMPLE_PER_CHUNK / max(total, 1)
+    sampled = max(4 * wanted, min(wanted, MANY_CHUNKS) * SAMPLE_PER_CHUNK)
+    fraction = sampled / max(total, 1)
     if fraction < 1.0:
         picked = picked.sample(fraction, seed=11)
-    sample = picked.toArrow().to_pandas()
-    if sample.empty:
-        return Chunks(order, keys, rows=total)
+    sample = picked.toArrow()
 
     hot: tuple[int, ...] = ()
     if keys:
-        seen = sample["h"].value_counts()
+        hashes, seen = np.unique(sample["h"].to_numpy(), return_counts=True)
         enough = chunk_rows * min(1.0, fraction) / 2
-        hot = tuple(int(h) for h in seen[seen >= max(enough, 2)].index)
+        hot = tuple(hashes[seen >= max(enough, 2)].tolist())
         if not hot:
             return Chunks(order, keys, rows=total)
 
-    picks = sorted(zip(sample["o0"].tolist(), sample["o1"].tolist()))
-    steps = sorted({len(picks) * i // wanted for i in range(1, wanted)} - {0})
-    cuts = sorted({picks[s][: len(order)] for s in steps})
+    # Rows without a place in the order make no cut.
+    sample = sample.filter(pc.is_valid(sample["o0"]))
+    first, second = sample["o0"].to_numpy(), sample["o1"].to_numpy()
+    by_order = np.lexsort((second, first))
+    steps = by_order[np.unique(len(by_order) * np.arange(1, wanted) // wanted)] if len(by_order) else by_order
+    picks = zip(first[steps].tolist(), second[steps].tolist())
+    cuts = sorted({pick[: len(order)] for pick in picks})
     return Chunks(order, keys, tuple(cuts), hot, total)

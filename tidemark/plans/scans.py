@@ -1,9 +1,10 @@
 """Prefix scans and lookahead over chunks.
 
-Each scan reads its input twice: once for a small summary per chunk (partial
-aggregation, a few bytes per chunk), once for the rows. What a chunk needs from
-the chunks before it travels as *carry rows* in the same shuffle as the rows, so
-there is one full shuffle and no join.
+A plan first counts and samples its input (:func:`plan_chunks`). A scan that is cut then
+reads it once for a small summary per chunk (partial aggregation, a few bytes per chunk)
+and once for the rows. What a chunk needs from the chunks before it travels as *carry
+rows* in the same shuffle as the rows, so there is one full shuffle and no join. Rows whose
+order columns are null come first.
 """
 
 from __future__ import annotations
