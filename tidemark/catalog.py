@@ -453,6 +453,37 @@ def reconcile_orders(spark, folder):
     return reconcile.reconcile(app, payment, 365 * DAY)
 
 
+#: Purchases as the app's side, errors as the other side: users have many of both.
+WAIT = 48 * HOUR
+
+REPEATED = f"""{CLICKS}, sides AS (
+  SELECT "user", seq, ts_ms, CASE url WHEN 'purchase' THEN 0 ELSE 1 END AS side,
+    row_number() OVER (PARTITION BY "user" ORDER BY ts_ms, url = 'error', seq) AS n
+  FROM clicks WHERE url IN ('purchase', 'error')),
+walk AS (
+  SELECT "user", n, n AS waiting, NULL::BIGINT AS met FROM sides WHERE n = 1
+  UNION ALL
+  SELECT e."user", e.n,
+    CASE WHEN p.side <> e.side AND e.ts_ms - p.ts_ms <= {WAIT} THEN NULL ELSE e.n END,
+    CASE WHEN p.side <> e.side AND e.ts_ms - p.ts_ms <= {WAIT} THEN p.n END
+  FROM walk w JOIN sides e ON e."user" = w."user" AND e.n = w.n + 1
+  LEFT JOIN sides p ON p."user" = w."user" AND p.n = w.waiting),
+matches AS (SELECT "user", met AS a, n AS b FROM walk WHERE met IS NOT NULL)
+SELECT x."user", CASE x.side WHEN 0 THEN x.seq ELSE y.seq END AS app_seq,
+  CASE x.side WHEN 0 THEN y.seq ELSE x.seq END AS payment_seq, 'success' AS status
+FROM matches m JOIN sides x ON x."user" = m."user" AND x.n = m.a JOIN sides y ON y."user" = m."user" AND y.n = m.b
+UNION ALL SELECT "user", CASE side WHEN 0 THEN seq END, CASE side WHEN 1 THEN seq END,
+  CASE side WHEN 0 THEN 'failed: no payment' ELSE 'failed: no app order' END
+FROM sides s WHERE NOT EXISTS (SELECT 1 FROM matches m WHERE m."user" = s."user" AND s.n IN (m.a, m.b))"""
+
+
+@query(f"WITH RECURSIVE {REPEATED}")
+def reconcile_repeated(spark, folder):
+    rows = clicks(spark, folder).select("user", "seq", "ts_ms", "url")
+    app, payment = rows.where("url = 'purchase'"), rows.where("url = 'error'")
+    return reconcile.reconcile(app, payment, WAIT, "user", ["seq"], ["seq"], ["seq"])
+
+
 @query("""SELECT o_orderkey AS order_id, o_custkey AS customer, l_linenumber AS line, l_quantity AS quantity
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey""")
 def two_stream_join(spark, folder):
