@@ -22,12 +22,14 @@ from tidemark.functions.time import epoch_ms
 from tidemark.operators import accumulators, lateness, parsing, patterns, reconcile, routing, running
 from tidemark.operators import tables, timers, topn, watermarks, windows
 from tidemark.session import cut_lineage, fresh_path
-from tidemark.sources.events import clicks, staged_stream, stream_clicks, stream_table, table
+from tidemark.sources.events import clicks, staged_stream, stream_clicks, stream_table, table, with_event_time
 from tidemark.sources.text import lines_of
-from tidemark.streaming import sinks
+from tidemark.streaming import inputs, sinks
 from tidemark.streaming.late import LateCounts
 from tidemark.streaming.running import RunningCounts
 
+#: The user of rows that only end a stream.
+END_USER = -1
 HOUR = 3_600_000
 DAY = 24 * HOUR
 ARRIVAL = ("arr", "seq")
@@ -643,3 +645,21 @@ def stream_late_side(spark, folder):
     sink = LateCounts(fresh_path(spark, "late"), ["user"], ARRIVAL, **LATE)
     sink.start(staged_stream(rows, ARRIVAL, 3)).awaitTermination()
     return sink.side(spark).select("seq", "user", "url", "ts_ms")
+
+
+@query(f"WITH RECURSIVE {REPEATED}")
+def stream_reconcile_state(spark, folder):
+    kept = clicks(spark, folder).where("url IN ('purchase', 'error')").select("user", "seq", "ts_ms", "url")
+    # A last row of each side, far ahead, moves the watermark past all that wait.
+    end = kept.agg(F.max("ts_ms").alias("ts_ms")).select(
+        F.lit(END_USER).cast("bigint").alias("user"),
+        F.lit(-1).cast("bigint").alias("seq"),
+        (F.col("ts_ms") + 10 * WAIT).alias("ts_ms"),
+        F.explode(F.array(F.lit("purchase"), F.lit("error"))).alias("url"),
+    )
+    stream = with_event_time(staged_stream(kept.unionByName(end), ["ts_ms"], 4), "1 second")
+    app, payment = stream.where("url = 'purchase'"), stream.where("url = 'error'")
+    schema = "user bigint, app_seq bigint, payment_seq bigint, status string"
+    pairs = inputs.Reconcile(WAIT, ["seq"])
+    out = inputs.connect(app.drop("url"), payment.drop("url"), ["user"], pairs, schema, F.col("seq"))
+    return sinks.run_to_table(out, "reconcile").where(F.col("user") != END_USER)
