@@ -67,44 +67,21 @@ def test_top_urls_as_windows_close(spark, ordered_stream, tmp_path):
     assert rows_of(out, *batch.columns) == rows_of(batch)
 
 
-def test_top_urls_with_list_state(spark, ordered_stream):
-    timed = with_event_time(ordered_stream([CLICKS, [SENTINEL], [(100, "end", "end", 2 * FAR)]], EVENT), "1 seconds")
-    counts = windows.window_aggregate(timed, ["url"], 10_000, 5_000)
-    ranked = processors.process(
-        counts,
-        ["window_end_ms"],
-        processors.TopNBuffer(2, topn.NO_URL),
-        "window_end_ms bigint, rank bigint, url string, pv bigint",
-        "EventTime",
-    )
+@pytest.mark.parametrize("parts", [1, 64])
+def test_top_urls_with_list_state(spark, ordered_stream, parts):
+    ends = [[(99 + i, "end", "end", FAR * (i + 1))] for i in range(4)]
+    timed = with_event_time(ordered_stream([CLICKS[:3], CLICKS[3:5], CLICKS[5:], *ends], EVENT), "1 seconds")
+    ranked = processors.top_urls(timed, 10_000, 5_000, 2, parts=parts)
     out = sinks.run_to_table(ranked, "top").where(f"window_end_ms < {FAR}")
     batch = topn.pad_ranks(topn.top_urls(spark.createDataFrame(CLICKS, EVENT), 10_000, 5_000), 2)
     assert rows_of(out) == rows_of(batch, "window_end_ms", "rank", "url", "pv")
 
 
-def test_running_count_gives_a_row_per_row(spark, ordered_stream):
-    counted = processors.process(
-        ordered_stream([CLICKS[:2], CLICKS[2:]], EVENT),
-        ["user"],
-        processors.RunningCount(["user", "seq"], ["seq"]),
-        "user string, seq bigint, cnt bigint",
-    )
-    assert rows_of(sinks.run_to_table(counted, "running")) == [
-        ("Alice", 1, 1), ("Alice", 3, 2), ("Alice", 5, 3), ("Alice", 6, 4), ("Bob", 2, 1), ("Bob", 4, 2),
-    ]
-
-
-def test_changelog(spark, ordered_stream):
-    changes = processors.process(
-        ordered_stream([CLICKS[:2], CLICKS[2:4]], EVENT),
-        ["user"],
-        processors.ChangelogCount(["user", "seq"], ["seq"]),
-        "user string, seq bigint, row_kind string, cnt bigint",
-    )
-    assert rows_of(sinks.run_to_table(changes, "changes"), "user", "seq", "row_kind", "cnt") == [
-        ("Alice", 1, "+I", 1), ("Alice", 3, "+U", 2), ("Alice", 3, "-U", 1),
-        ("Bob", 2, "+I", 1), ("Bob", 4, "+U", 2), ("Bob", 4, "-U", 1),
-    ]
+def test_candidates_before_the_list_state(ordered_stream):
+    """Counts meet in as many groups as there are parts; the list state gets n of each."""
+    timed = with_event_time(ordered_stream([CLICKS], EVENT), "1 seconds")
+    plan = processors.top_urls(timed, 10_000, 5_000, 2)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Aggregate") == 2 and "slice(array_sort(collect_list" in plan
 
 
 def test_event_timers_fire_after_watermark(spark, ordered_stream):
@@ -168,24 +145,6 @@ def test_time_context(spark, ordered_stream):
     assert seen == [(1, 0), (2, 1000), (3, 2000)]
 
 
-@pytest.mark.parametrize("strict,expected", [
-    (True, [("user-1", 4, 6000, 7000, 8000)]),
-    (False, [("user-1", 1, 1000, 6000, 7000), ("user-1", 4, 6000, 7000, 8000)]),
-])
-def test_patterns(spark, ordered_stream, strict, expected):
-    schema = "user string, seq bigint, ts_ms bigint, ok boolean"
-    rows = [
-        ("user-1", 1, 1000, True), ("user-1", 2, 2000, False), ("user-2", 3, 3000, True),
-        ("user-1", 4, 6000, True), ("user-1", 6, 8000, True), ("user-1", 5, 7000, True),
-    ]
-    timed = with_event_time(ordered_stream([rows, [("x", 98, FAR, False)]], schema), "1 seconds")
-    out = processors.process(
-        timed, ["user"], processors.Pattern("user", 3, strict),
-        "user string, seq bigint, ts_1 bigint, ts_2 bigint, ts_3 bigint", "EventTime",
-    )
-    assert rows_of(sinks.run_to_table(out, "pattern")) == expected
-
-
 def test_reconcile_streams(spark, ordered_stream):
     app = [("order-1", 1000), ("order-2", 2000), ("order-3", 3000), ("order-4", 4000)]
     pay = [("order-1", 1000), ("order-2", 7000), ("order-4", 9001)]

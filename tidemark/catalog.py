@@ -14,7 +14,7 @@ from collections.abc import Callable
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import render_event, words
@@ -24,8 +24,9 @@ from tidemark.operators import tables, timers, topn, watermarks, windows
 from tidemark.session import cut_lineage, fresh_path
 from tidemark.sources.events import clicks, staged_stream, stream_clicks, stream_table, table, with_event_time
 from tidemark.sources.text import lines_of
-from tidemark.streaming import inputs, sinks
+from tidemark.streaming import inputs, processors, sinks
 from tidemark.streaming.late import LateCounts
+from tidemark.streaming.patterns import PatternMatches
 from tidemark.streaming.running import RunningCounts
 
 #: The user of rows that only end a stream.
@@ -647,17 +648,55 @@ def stream_late_side(spark, folder):
     return sink.side(spark).select("seq", "user", "url", "ts_ms")
 
 
+def ended(rows: DataFrame, after_ms: int, times: int = 1, **last: Column) -> list[DataFrame]:
+    """Rows of :data:`END_USER`, one per micro-batch, ever further ahead of all ``rows``."""
+    top = rows.agg(F.max("ts_ms").alias("ts_ms"))
+    values = {"user": F.lit(END_USER).cast("bigint"), "seq": F.lit(-1).cast("bigint"), **last}
+    return [
+        top.select((F.col("ts_ms") + i * after_ms).alias("ts_ms"), *[c.alias(n) for n, c in values.items()])
+        for i in range(1, times + 1)
+    ]
+
+
+@query(ORACLES["cep_strict3"])
+def stream_cep_strict3(spark, folder):
+    failed = F.col("url") == "error"
+    sink = PatternMatches(fresh_path(spark, "strict"), "user", [failed] * 3, ["ts_ms", "seq"], 2 * HOUR)
+    sink.start(staged_stream(clicks(spark, folder), ["seq"], 4)).awaitTermination()
+    return sink.matches(spark).unionByName(sink.still_open(spark))
+
+
+@query(ORACLES["cep_times3"])
+def stream_cep_times3(spark, folder):
+    failed = F.col("url") == "error"
+    sink = PatternMatches(
+        fresh_path(spark, "times"), "user", [failed], ["ts_ms", "seq"], 2 * HOUR, relaxed=True, steps=3
+    )
+    sink.start(staged_stream(clicks(spark, folder), ["seq"], 4)).awaitTermination()
+    return sink.matches(spark).unionByName(sink.still_open(spark))
+
+
+@query(f"""WITH {RANKED}, slots AS (
+  SELECT DISTINCT window_end_ms, k AS rank FROM counts, range(1, 8) AS r(k))
+SELECT window_end_ms, rank::BIGINT AS rank, coalesce(url, '无') AS url, coalesce(pv, 0)::BIGINT AS pv
+FROM slots LEFT JOIN ranked USING (window_end_ms, rank)""")
+def stream_topn_padded(spark, folder):
+    rows = clicks(spark, folder)
+    # The last windows pass three operators, one micro-batch each.
+    ends = ended(rows, 100 * DAY, 4, url=F.lit("end"))
+    stream = with_event_time(staged_stream(rows, ["ts_ms"], 3, ends=ends), "2 hours")
+    ranked = processors.top_urls(stream, 10 * HOUR, 5 * HOUR, 7)
+    last = rows.agg(F.max("ts_ms")).first()[0] or 0
+    return sinks.run_to_table(ranked, "top").where(F.col("window_end_ms") <= last + 10 * HOUR)
+
+
 @query(f"WITH RECURSIVE {REPEATED}")
 def stream_reconcile_state(spark, folder):
     kept = clicks(spark, folder).where("url IN ('purchase', 'error')").select("user", "seq", "ts_ms", "url")
     # A last row of each side, far ahead, moves the watermark past all that wait.
-    end = kept.agg(F.max("ts_ms").alias("ts_ms")).select(
-        F.lit(END_USER).cast("bigint").alias("user"),
-        F.lit(-1).cast("bigint").alias("seq"),
-        (F.col("ts_ms") + 10 * WAIT).alias("ts_ms"),
-        F.explode(F.array(F.lit("purchase"), F.lit("error"))).alias("url"),
-    )
-    stream = with_event_time(staged_stream(kept.unionByName(end), ["ts_ms"], 4), "1 second")
+    sides = F.explode(F.array(F.lit("purchase"), F.lit("error")))
+    ends = ended(kept, 10 * WAIT, url=sides)
+    stream = with_event_time(staged_stream(kept, ["ts_ms"], 4, ends=ends), "1 second")
     app, payment = stream.where("url = 'purchase'"), stream.where("url = 'error'")
     schema = "user bigint, app_seq bigint, payment_seq bigint, status string"
     pairs = inputs.Reconcile(WAIT, ["seq"])

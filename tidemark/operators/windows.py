@@ -34,6 +34,15 @@ def _bounds() -> list[Column]:
     ]
 
 
+def event_time_counts(
+    stream: DataFrame, keys: Sequence[str], size_ms: int, slide_ms: int | None = None
+) -> DataFrame:
+    """``window, keys, pv`` of a stream. The ``window`` column carries the watermark, which
+    a further aggregate in the same query needs."""
+    window = _time_column(size_ms, slide_ms).alias("window")
+    return stream.groupBy(window, *keys).agg(F.count("*").alias("pv"))
+
+
 def window_aggregate(
     df: DataFrame,
     keys: Sequence[str],

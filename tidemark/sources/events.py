@@ -59,12 +59,17 @@ def with_event_time(df: DataFrame, delay: str | None = None) -> DataFrame:
 
 
 def staged_stream(
-    df: DataFrame, order: Sequence[str], batches: int = 3, files_per_batch: int = 1
+    df: DataFrame,
+    order: Sequence[str],
+    batches: int = 3,
+    files_per_batch: int = 1,
+    ends: Sequence[DataFrame] = (),
 ) -> DataFrame:
     """``df`` as a stream that comes in several micro-batches, along ``order``.
 
     The rows are cut at quantiles of the first order column and written to the shared
     folder batch after batch; the stream takes the files in the order they were written.
+    ``ends`` are further micro-batches, such as rows that only move the watermark on.
     """
     spark, path = df.sparkSession, fresh_path(df.sparkSession, "staged")
     steps = [i / batches for i in range(1, batches)]
@@ -77,6 +82,8 @@ def staged_stream(
             rows.where(F.col("__part") == i).drop("__part").repartition(files_per_batch).write.parquet(
                 f"{path}/{i:03d}"
             )
+        for i, end in enumerate(ends, start=len(cuts) + 1):
+            end.select(*df.columns).repartition(files_per_batch).write.parquet(f"{path}/{i:03d}")
     finally:
         rows.unpersist()
     reader = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files_per_batch)

@@ -14,10 +14,16 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidemark.operators import windows
+from tidemark.operators.topn import NO_URL
 from tidemark.session import ROCKSDB_PROVIDER, STATE_STORE
 
+#: Parts in which the urls of a window are ranked before they meet.
+PARTS = 64
+
 
 def process(
     stream: DataFrame,
@@ -41,43 +47,6 @@ def _value(state, default=None):
     return state.get()[0] if state.exists() else default
 
 
-class RunningCount(StatefulProcessor):
-    """One row per input row: the row's columns and the key's count so far."""
-
-    def __init__(self, columns: Sequence[str], order: Sequence[str] = ()):
-        self.columns, self.order = list(columns), list(order)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.total = handle.getValueState("total", "n bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        n = _value(self.total, 0)
-        for batch in rows:
-            if self.order:
-                batch = batch.sort_values(self.order)
-            counts = n + np.arange(1, len(batch) + 1)
-            n += len(batch)
-            yield batch[self.columns].assign(cnt=counts)
-        self.total.update((n,))
-
-    def close(self) -> None:
-        pass
-
-
-class ChangelogCount(RunningCount):
-    """``row_kind, cnt``: ``+I`` on a key's first row, then ``-U`` old and ``+U`` new."""
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for batch in super().handleInputRows(key, rows, timerValues):
-            cnt = np.repeat(batch["cnt"].to_numpy(), 2)
-            before = np.arange(len(cnt)) % 2 == 0
-            out = batch.loc[batch.index.repeat(2)].assign(
-                row_kind=np.where(before, "-U", "+U"), cnt=cnt - before
-            )
-            out.loc[(out["cnt"] == 1) & ~before, "row_kind"] = "+I"
-            yield out[out["cnt"] > 0][[*self.columns, "row_kind", "cnt"]]
-
-
 class TimeContext(StatefulProcessor):
     """Each row with the watermark and the clock time it met."""
 
@@ -140,7 +109,8 @@ class Timers(StatefulProcessor):
 class PeriodicCounter(StatefulProcessor):
     """Counts a key's rows and reports ``key, timer_ms, cnt`` when its timer fires.
 
-    The first row, and the first after each report, sets the timer.
+    The first row, and the first after each report, sets the timer; of the rows of one
+    micro-batch, that is the earliest.
     """
 
     def __init__(self, key: str, after_ms: int):
@@ -155,8 +125,8 @@ class PeriodicCounter(StatefulProcessor):
         n, first = _value(self.total, 0), None
         for batch in rows:
             n += len(batch)
-            if first is None:
-                first = int(batch["ts_ms"].iloc[0])
+            earliest = int(batch["ts_ms"].min())
+            first = earliest if first is None else min(first, earliest)
         self.total.update((n,))
         if not self.timer.exists() and first is not None:
             at = first + self.after_ms
@@ -185,7 +155,8 @@ class PeriodicCounter(StatefulProcessor):
 class TopNBuffer(StatefulProcessor):
     """Top ``n`` of the counts of one window, keyed by its end; padded when it fires.
 
-    Holds the best ``n`` seen so far, never all counts of the window.
+    Holds the best ``n`` seen so far, never all counts of the window. Feed it with
+    candidates (:func:`top_urls`), so that no task sees all counts either.
     """
 
     def __init__(self, n: int, missing: str):
@@ -225,59 +196,29 @@ class TopNBuffer(StatefulProcessor):
         pass
 
 
-class Pattern(StatefulProcessor):
-    """Rows of a key in event-time order, matched once the watermark has passed them.
+def top_urls(
+    stream: DataFrame,
+    size_ms: int,
+    slide_ms: int | None = None,
+    n: int = 2,
+    missing: str = NO_URL,
+    parts: int = PARTS,
+) -> DataFrame:
+    """``window_end_ms, rank, url, pv``: the ranks 1..n of each window of a stream, once it
+    has ended.
 
-    Needs columns ``ts_ms``, ``seq`` and ``ok``. ``strict`` wants ``steps`` rows with
-    ``ok`` one right after the other; otherwise other rows may lie between. Gives
-    ``key, seq, ts_1 .. ts_n``; matches overlap.
+    Three stateful operators in one query. Windows are counted per url, and the counts of a
+    window that has ended are cut to ``n`` candidates in each of ``parts`` parts, by built-in
+    aggregates; a list state per window keeps the best candidates until its timer fires.
+    A window leaves the query some micro-batches after the watermark has passed its end.
     """
-
-    def __init__(self, key: str, steps: int, strict: bool):
-        self.key, self.steps, self.strict = key, steps, strict
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", "ts_ms bigint, seq bigint, ok boolean")
-        self.run = handle.getListState("run", "ts_ms bigint, seq bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for batch in rows:
-            if not self.strict:
-                batch = batch[batch["ok"]]
-            for ts_ms, seq, ok in zip(batch["ts_ms"], batch["seq"], batch["ok"]):
-                self.waiting.appendValue((int(ts_ms), int(seq), bool(ok)))
-            for ts_ms in batch["ts_ms"].unique():
-                self.handle.registerTimer(int(ts_ms) + 1)
-        yield self._out(key, [])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        passed = expiredTimerInfo.getExpiryTimeInMs()
-        held = sorted(tuple(r) for r in self.waiting.get()) if self.waiting.exists() else []
-        self.waiting.clear()
-        later = [row for row in held if row[0] >= passed]
-        if later:
-            self.waiting.put(later)
-        run = [tuple(r) for r in self.run.get()] if self.run.exists() else []
-        matches = []
-        for ts_ms, seq, ok in (row for row in held if row[0] < passed):
-            run = [*run, (ts_ms, seq)] if ok else []
-            if len(run) == self.steps:
-                matches.append(run)
-                run = run[1:]
-        self.run.clear()
-        if run:
-            self.run.put(run)
-        yield self._out(key, matches)
-
-    def _out(self, key, matches: list) -> pd.DataFrame:
-        out = {
-            self.key: pd.Series([key[0]] * len(matches), dtype=object),
-            "seq": np.array([m[0][1] for m in matches], dtype=np.int64),
-        }
-        for i in range(self.steps):
-            out[f"ts_{i + 1}"] = np.array([m[i][0] for m in matches], dtype=np.int64)
-        return pd.DataFrame(out)
-
-    def close(self) -> None:
-        pass
+    counts = windows.event_time_counts(stream, ["url"], size_ms, slide_ms)
+    part = F.pmod(F.xxhash64("url"), F.lit(parts)).alias("part")
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("pv")).alias("less"), "url")))
+    best = counts.groupBy("window", part).agg(F.slice(ranked, 1, n).alias("best"))
+    candidates = best.select(
+        F.unix_millis("window.end").alias("window_end_ms"), F.explode("best").alias("one")
+    ).select("window_end_ms", "one.url", (-F.col("one.less")).alias("pv"))
+    buffer = TopNBuffer(n, missing)
+    schema = "window_end_ms bigint, rank bigint, url string, pv bigint"
+    return process(candidates, ["window_end_ms"], buffer, schema, "EventTime")
