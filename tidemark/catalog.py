@@ -690,6 +690,19 @@ def stream_topn_padded(spark, folder):
     return sinks.run_to_table(ranked, "top").where(F.col("window_end_ms") <= last + 10 * HOUR)
 
 
+@query(f"""WITH {CLICKS}
+SELECT "user", 'input' AS kind, ts_ms AS at_ms FROM clicks
+UNION ALL SELECT DISTINCT "user", 'fired', ts_ms + {5 * HOUR} FROM clicks""")
+def stream_event_timers(spark, folder):
+    rows = clicks(spark, folder)
+    ends = ended(rows, 10 * DAY, url=F.lit("end"))
+    stream = with_event_time(staged_stream(rows, ["ts_ms"], 3, ends=ends), "2 hours")
+    fired = processors.process(
+        stream, ["user"], processors.Timers(["user"], 5 * HOUR), "user bigint, kind string, at_ms bigint", "EventTime"
+    )
+    return sinks.run_to_table(fired, "timers").where(F.col("user") != END_USER)
+
+
 @query(f"WITH RECURSIVE {REPEATED}")
 def stream_reconcile_state(spark, folder):
     kept = clicks(spark, folder).where("url IN ('purchase', 'error')").select("user", "seq", "ts_ms", "url")

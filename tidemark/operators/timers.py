@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.plans.chunks import CHUNK, CHUNK_ROWS, plan_chunks
-from tidemark.plans.scans import CARRY, first_arrivals, prefix_scan, stack
+from tidemark.plans.scans import CARRY, prefix_scan, stack
 from tidemark.session import cut_lineage
 
 END_OF_INPUT = 2**63 - 1
@@ -54,13 +54,24 @@ def _with_firing(
             F.greatest(timer + F.lit(delay_ms), "__seen", "ts_ms").alias("__passes"),
         ).withColumn("__passes", F.col("__passes") + 1)
     )
-    # Only a new maximum moves the watermark, and each maximum comes once.
+    # Only a new maximum moves the watermark, and each maximum comes once. A rise counts for
+    # rows at its own time, so it stands behind them; rows of one time are told apart, as
+    # after an outlier very many wait for the same rise.
     rises = F.col("__seen").isNull() | (F.col("ts_ms") > F.col("__seen"))
+    waiting = marked.withColumn("__tie", F.col(order[-1]).cast("bigint"))
     arrivals = marked.where(rises).select(
-        F.col("ts_ms").alias("__passes"), F.struct(*order, "ts_ms").alias("first")
+        F.col("ts_ms").alias("__passes"),
+        F.lit(END_OF_INPUT).alias("__tie"),
+        F.struct(*order, "ts_ms").alias("__rise"),
     )
-    reached = first_arrivals(arrivals, marked, "__passes", chunk_rows)
-    return marked.join(reached, "__passes").withColumnRenamed("arrival", "__fires")
+    reached = prefix_scan(
+        waiting.unionByName(arrivals, allowMissingColumns=True),
+        ["__passes", "__tie"],
+        {"__fires": ("min", F.col("__rise"))},
+        reverse=True,
+        chunk_rows=chunk_rows,
+    )
+    return reached.where(F.col("__rise").isNull()).drop("__rise", "__tie")
 
 
 def event_timers(
@@ -171,12 +182,7 @@ def _armed(
             .groupBy(user, CHUNK)
             .applyInPandas(lambda g: _chunk_exits(g, user, horizon_ms), exit_schema)
         )
-        pending_schema = T.StructType(
-            [f for f in exit_schema.fields if f.name not in ("__o0", "__o1")]
-        )
-        pending = exits.groupBy(user).applyInPandas(
-            lambda g: _pending_per_chunk(g, user), pending_schema
-        )
+        pending = _pending(cut_lineage(exits), user, len(chunks.cuts) + 1, chunk_rows)
         stacked = stack(rows, pending)
     # Many small users share a call; a chunk of a hot user has its own.
     shuffles = int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -268,28 +274,61 @@ def _chunk_exits(g: pd.DataFrame, user: str, horizon_ms: int) -> pd.DataFrame:
     )
 
 
-def _pending_per_chunk(g: pd.DataFrame, user: str) -> pd.DataFrame:
-    """The firing still awaited when each chunk of a user starts."""
-    g = g.sort_values([CHUNK, "__o0", "__o1"], ignore_index=True)
-    at, fires = _codes(_columns(g, "__o0", "__o1"), _columns(g, "__f0", "__f1"))
-    chunk = g[CHUNK].to_numpy()
-    starts = np.flatnonzero(np.r_[True, np.diff(chunk) != 0])
-    stops = np.r_[starts[1:], len(g)]
-    awaited, kept = -1, []
-    for start, stop in zip(starts, stops):
-        if awaited >= 0:
-            kept.append((start, awaited))
-        code = -1 if awaited < 0 else fires[awaited]
-        entry = start + int(np.searchsorted(at[start:stop], code, side="right"))
-        if entry < stop:
-            awaited = entry
-    where = np.array([k[0] for k in kept], dtype=int)
-    source = np.array([k[1] for k in kept], dtype=int)
-    return pd.DataFrame(
-        {
-            user: g[user].to_numpy()[where],
-            CHUNK: chunk[where],
-            "__f0": g["__f0"].to_numpy()[source],
-            "__f1": g["__f1"].to_numpy()[source],
-        }
+def _pending(exits: DataFrame, user: str, chunks: int, chunk_rows: int | None) -> DataFrame:
+    """The firing still awaited when each chunk of a user starts, if there is one.
+
+    An exit leads to the first one of the user that lies after its firing. The exits on the
+    way from a user's first one are found by pointer doubling: each round doubles both how
+    far a pointer leads and how many of them are known.
+    """
+    ends = exits.select(user, F.col("__f0").alias("__o0"), F.col("__f1").alias("__o1"))
+    places = cut_lineage(
+        exits.select(user, "__o0", "__o1", F.struct("__o0", "__o1").alias("__exit"))
+        .unionByName(ends, allowMissingColumns=True)
+        .groupBy(user, "__o0", "__o1")
+        .agg(F.min("__exit").alias("__exit"))
+    )
+    after = prefix_scan(
+        places, ["__o0", "__o1"], {"__next": ("min", F.col("__exit"))}, [user],
+        inclusive=False, reverse=True, chunk_rows=chunk_rows,
+    ).where(F.col("__next").isNotNull())
+    leads = _joined(
+        exits.select(user, F.struct("__o0", "__o1").alias("__from"), F.struct("__f0", "__f1").alias("__to")),
+        after.select(user, F.struct("__o0", "__o1").alias("__at"), F.col("__next").alias("__then")),
+        user,
+    )
+    leads = cut_lineage(leads)
+    known = cut_lineage(exits.groupBy(user).agg(F.min(F.struct("__o0", "__o1")).alias("__to")))
+    for _ in range(chunks.bit_length()):
+        steps = leads.select(user, F.col("__from").alias("__at"), F.col("__to").alias("__then"))
+        more = cut_lineage(_joined(known, steps, user).select(user, "__to"))
+        if more.isEmpty():
+            break
+        known = cut_lineage(known.unionByName(more))
+        leads = cut_lineage(_joined(leads, steps, user))
+    on_way = _joined(
+        known,
+        exits.select(user, F.struct("__o0", "__o1").alias("__at"), F.struct(CHUNK, "__f0", "__f1").alias("__then")),
+        user,
+    ).select(user, F.col(f"__to.{CHUNK}").alias(CHUNK), F.struct("__to.__f0", "__to.__f1").alias("__held"))
+    # One row per chunk and user here: a user's chunks bound each group.
+    starts = exits.select(user, CHUNK).distinct()
+    last = F.last("__held", ignorenulls=True).over(
+        W.partitionBy(user).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
     )
+    return (
+        starts.unionByName(on_way, allowMissingColumns=True)
+        .groupBy(user, CHUNK)
+        .agg(F.max("__held").alias("__held"))
+        .withColumn("__held", last)
+        .where(F.col("__held").isNotNull())
+        .select(user, CHUNK, "__held.__f0", "__held.__f1")
+    )
+
+
+def _joined(pointers: DataFrame, steps: DataFrame, user: str) -> DataFrame:
+    """``pointers`` with ``__to`` moved on by ``steps`` (from ``__at`` to ``__then``); those
+    that lead nowhere go."""
+    steps = steps.withColumnRenamed(user, "__whose")
+    same = F.col(user).eqNullSafe(F.col("__whose")) & (F.col("__to") == F.col("__at"))
+    return pointers.join(steps, same).drop("__to", "__at", "__whose").withColumnRenamed("__then", "__to")
