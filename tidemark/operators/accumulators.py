@@ -5,7 +5,8 @@ accumulator per key and pane, and only accumulators are shuffled. A busy window
 task no more than its own share of the rows. Where very many tasks hold a part of one
 window, parts are merged a bounded number at a time. Sliding windows merge panes.
 
-A function of all rows of a window (:func:`process_windows`) cannot be cut. Its rows come
+Running results (:func:`running_accumulate`) follow an order, hot keys in chunks. A function
+of all rows of a window (:func:`process_windows`) cannot be cut. Its rows come
 as an iterator of Arrow batches, so a large window need not fit in memory.
 """
 
@@ -27,9 +28,11 @@ from pyspark.sql import types as T
 
 from tidemark.functions.time import window_start, window_starts
 from tidemark.operators.windows import END, START
+from tidemark.plans.chunks import CHUNK, plan_chunks
 from tidemark.session import cut_lineage
 
 PANE, PART, HELD = "__pane", "__part", "__held"
+_FIRST, _T = "__opens", T.StructType
 #: A task hands on what it holds after so many groups or rows.
 FLUSH_GROUPS, FLUSH_ROWS = 100_000, 1_000_000
 #: So many parts of a window are merged by one task at a time.
@@ -39,8 +42,10 @@ FAN_IN = 64
 class Accumulator:
     """A window aggregate: subclass it and give the columns of its result as ``schema``.
 
-    ``add`` gets the rows of one window, a batch at a time; ``merge`` must not depend on
-    the order of parts. What is held must be picklable.
+    ``add`` gets the rows of one window, a batch at a time, and may change what it is given.
+    In windows ``merge`` must not depend on the order of parts; in running results
+    (:func:`running_accumulate`) it need only be associative, as parts come in order. What is
+    held must be picklable.
     """
 
     schema: str
@@ -70,16 +75,40 @@ class ViewsAndVisitors(Accumulator):
         return 0, set()
 
     def add(self, held: tuple[int, set], rows: pa.RecordBatch) -> tuple[int, set]:
-        seen = pc.unique(rows.column(self.visitor).drop_null()).to_pylist()
-        return held[0] + rows.num_rows, held[1].union(seen)
+        held[1].update(pc.unique(rows.column(self.visitor).drop_null()).to_pylist())
+        return held[0] + rows.num_rows, held[1]
 
     def merge(self, held: tuple[int, set], other: tuple[int, set]) -> tuple[int, set]:
-        return held[0] + other[0], held[1] | other[1]
+        held[1].update(other[1])
+        return held[0] + other[0], held[1]
 
     def finish(self, held: tuple[int, set]) -> tuple[int, int]:
         return held[0], len(held[1])
 
 
+class Reduced(Accumulator):
+    """Records reduced two at a time: ``function`` gets two records, as dictionaries of the
+    columns of ``schema``, and gives one."""
+
+    def __init__(self, schema: str, function: Callable[[dict, dict], dict]):
+        self.schema, self.function = schema, function
+        self.columns = T.StructType.fromDDL(schema).names
+
+    def create(self) -> None:
+        return None
+
+    def add(self, held: dict | None, rows: pa.RecordBatch) -> dict | None:
+        for record in rows.select(self.columns).to_pylist():
+            held = record if held is None else self.function(held, record)
+        return held
+
+    def merge(self, held: dict | None, other: dict | None) -> dict | None:
+        return other if held is None else held if other is None else self.function(held, other)
+
+    def finish(self, held: dict) -> tuple:
+        return tuple(held[c] for c in self.columns)
+
+
 def groups_of(batch: pa.RecordBatch, columns: int) -> Iterator[tuple[tuple, pa.RecordBatch]]:
     """The rows of each distinct value of the first ``columns`` columns, null like others."""
     code = np.zeros(batch.num_rows, np.int64)
@@ -169,6 +198,19 @@ def merged(parts: DataFrame, group: Sequence[str], accumulator: Accumulator, don
         parts = _merged(parts.withColumn(PART, spread), [*group, PART], accumulator, False)
 
 
+def finished(held: DataFrame, group: Sequence[str], accumulator: Accumulator) -> DataFrame:
+    """Results of whole accumulators, one per value of ``group``."""
+    schema = T.StructType([*_fields(held, group), *T.StructType.fromDDL(accumulator.schema).fields])
+    arrow = _arrow(schema)
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *keys, raw = (c.to_pylist() for c in batch.columns)
+            yield _rows([(*k, *accumulator.finish(pickle.loads(r))) for *k, r in zip(*keys, raw)], arrow)
+
+    return held.select(*group, HELD).mapInArrow(finish, schema)
+
+
 def window_accumulate(
     df: DataFrame,
     keys: Sequence[str],
@@ -183,7 +225,7 @@ def window_accumulate(
     no window; null is a key like others.
     """
     if df.isStreaming:
-        raise ValueError("a stream's windows are accumulated by streaming.late.LateWindows")
+        raise ValueError("a stream's windows are accumulated by streaming.late_windows.LateWindows")
     keys, slide_ms = list(keys), slide_ms or size_ms
     pane_ms = gcd(size_ms, slide_ms)
     read = [c for c in (df.columns if columns is None else columns) if c not in keys]
@@ -207,6 +249,152 @@ def window_accumulate(
     return out.select(*keys, START, (F.col(START) + size_ms).alias(END), *results)
 
 
+def _runs(batch: pa.RecordBatch, columns: int) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Neighbouring rows that agree in the first ``columns`` columns."""
+    new = np.zeros(batch.num_rows, bool)
+    new[:1] = True
+    for i in range(columns):
+        code = pc.dictionary_encode(batch.column(i), null_encoding="encode").indices.to_numpy()
+        new[1:] |= code[1:] != code[:-1]
+    starts = np.flatnonzero(new)
+    for start, stop in zip(starts, np.append(starts[1:], batch.num_rows)):
+        rows = batch.slice(start, stop - start)
+        yield tuple(rows.column(i)[0].as_py() for i in range(columns)), rows
+
+
+def running_accumulate(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    accumulator: Accumulator,
+    openings: DataFrame | None = None,
+    chunk_rows: int | None = None,
+) -> DataFrame:
+    """The rows of ``df`` with the accumulator's result over the key's rows up to each.
+
+    ``openings`` gives a key something to start from: ``keys`` and ``__held``, at most once per
+    key. Hot keys are cut in chunks along ``order`` (one or two BIGINT columns, nulls first):
+    each chunk is folded, what is before a chunk is merged from the chunks before it, and
+    all chunks are then followed at once.
+    """
+    keys, order, results = list(keys), list(order), T.StructType.fromDDL(accumulator.schema)
+    others = [c for c in df.columns if c not in keys]
+    rows = df.select(*keys, *others, F.lit(None).cast("binary").alias(HELD))
+    if openings is not None:
+        rows = rows.unionByName(openings.select(*keys, HELD), allowMissingColumns=True)
+    rows = rows.withColumn(_FIRST, F.col(HELD).isNotNull())
+    chunks = plan_chunks(df, order, keys, chunk_rows)
+    chunks_of = [CHUNK] if chunks.split else []
+    rows = chunks.assign(rows) if chunks.split else rows
+    group = [*keys, *chunks_of]
+    along = [*group, F.col(_FIRST).desc(), *order]
+    columns = [*group, *others, HELD]
+    if chunks.split:
+        rows = cut_lineage(rows)
+        # Openings come with each key's first chunk.
+        summary = _T([*_fields(rows, group), T.StructField(HELD, T.BinaryType())])
+        folded = (
+            _together(rows.where(F.col(CHUNK) > 0) if keys else rows, group).sortWithinPartitions(*along)
+            .select(*columns).mapInArrow(_folding(accumulator, len(group), _arrow(summary)), summary)
+        )
+        carried = (
+            _together(folded, keys).sortWithinPartitions(*group)
+            .mapInArrow(_carrying(accumulator, len(keys), _arrow(summary)), summary)
+        )
+        rows = rows.unionByName(carried.withColumn(_FIRST, F.lit(True)), allowMissingColumns=True)
+    whole = _T([*_fields(df, keys), *_fields(df, others), *results.fields])
+    walk = _walking(accumulator, len(group), len(keys), len(others), _arrow(whole))
+    placed = _together(rows, group).sortWithinPartitions(*along).select(*columns)
+    return placed.mapInArrow(walk, whole).select(*df.columns, *results.names)
+
+
+def _together(df: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Rows of one group in one partition; without a group that is few rows, or one per chunk."""
+    return df.repartition(*group) if group else df.repartition(1)
+
+
+def _added(accumulator: Accumulator, held: Any, rows: pa.RecordBatch) -> Any:
+    """Add rows, or merge what rows bring with them, in order."""
+    brought = rows.column(rows.num_columns - 1)
+    if brought.null_count == rows.num_rows:
+        return accumulator.add(held, rows)
+    at = 0
+    for i, raw in enumerate(brought.to_pylist()):
+        if raw is not None:
+            if i > at:
+                held = accumulator.add(held, rows.slice(at, i - at))
+            held, at = accumulator.merge(held, pickle.loads(raw)), i + 1
+    return accumulator.add(held, rows.slice(at)) if at < rows.num_rows else held
+
+
+def _folding(accumulator: Accumulator, width: int, arrow: pa.Schema):
+    """One row per group of sorted rows."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, None
+        for batch in batches:
+            done = []
+            for mine, rows in _runs(batch, width):
+                if mine != key:
+                    if key is not None:
+                        done.append((*key, pickle.dumps(held)))
+                    key, held = mine, accumulator.create()
+                held = _added(accumulator, held, rows)
+            yield _rows(done, arrow)
+        if key is not None:
+            yield _rows([(*key, pickle.dumps(held))], arrow)
+
+    return fold
+
+
+def _carrying(accumulator: Accumulator, width: int, arrow: pa.Schema):
+    """For each chunk of a key but the first, what the chunks before it hold."""
+
+    def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, None
+        for batch in batches:
+            out = []
+            for *mine, chunk, raw in zip(*[c.to_pylist() for c in batch.columns]):
+                if mine != key:
+                    key, held = mine, None
+                else:
+                    out.append((*mine, chunk, held))
+                mixed = accumulator.create() if held is None else pickle.loads(held)
+                held = pickle.dumps(accumulator.merge(mixed, pickle.loads(raw)))
+            yield _rows(out, arrow)
+
+    return carry
+
+
+def _walking(accumulator: Accumulator, width: int, keys: int, others: int, arrow: pa.Schema):
+    """The result after each row."""
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, None
+        for batch in batches:
+            real, results = [], []
+            at = 0
+            for mine, rows in _runs(batch, width):
+                if mine != key:
+                    key, held = mine, accumulator.create()
+                brought = rows.column(rows.num_columns - 1).to_pylist()
+                for i, raw in enumerate(brought):
+                    if raw is None:
+                        held = accumulator.add(held, rows.slice(i, 1))
+                        real.append(at + i)
+                        results.append(tuple(accumulator.finish(held)))
+                    else:
+                        held = accumulator.merge(held, pickle.loads(raw))
+                at += rows.num_rows
+            kept = batch.take(pa.array(real, pa.int64()))
+            own = [kept.column(i) for i in [*range(keys), *range(width, width + others)]]
+            fields = list(arrow)[len(own) :]
+            own += [pa.array([r[i] for r in results], f.type) for i, f in enumerate(fields)]
+            yield pa.RecordBatch.from_arrays(own, schema=arrow)
+
+    return walk
+
+
 @dataclass(frozen=True)
 class Window:
     """What a window function learns before the rows: the key's values and the bounds."""

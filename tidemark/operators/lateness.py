@@ -15,8 +15,10 @@ from math import gcd
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.time import window_start, window_starts
+from tidemark.operators.accumulators import Accumulator, finished, merged, partials, running_accumulate
 from tidemark.operators.windows import END, START
 from tidemark.plans.scans import first_arrivals, prefix_scan
 from tidemark.session import cut_lineage
@@ -165,3 +167,47 @@ def refiring_counts(
         *shown,
         "pv",
     )
+
+
+def refirings(
+    classified: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    size_ms: int,
+    accumulator: Accumulator,
+    chunk_rows: int | None = None,
+) -> DataFrame:
+    """Each firing of each window, with what ``accumulator`` makes of the rows so far; from
+    the output of :func:`classify`.
+
+    ``first`` and ``refire`` as in :func:`refiring_counts`, with the columns of the
+    accumulator's result in place of the count.
+    """
+    group = [*keys, START]
+    rows = classified.drop(CLASS)
+    on_time = rows.where(classified[CLASS] == ON_TIME)
+    late = cut_lineage(rows.where(classified[CLASS] == LATE))
+    openings = cut_lineage(merged(partials(on_time, group, accumulator), group, accumulator, done=False))
+    return firings(openings, openings, late, keys, order, size_ms, accumulator, chunk_rows)
+
+
+def firings(
+    firsts: DataFrame,
+    openings: DataFrame,
+    late: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    size_ms: int,
+    accumulator: Accumulator,
+    chunk_rows: int | None = None,
+) -> DataFrame:
+    """First firings of the windows in ``firsts`` and one firing per row of ``late``, on top of
+    what ``openings`` hold."""
+    group, results = [*keys, START], T.StructType.fromDDL(accumulator.schema).names
+    again = running_accumulate(late, group, order, accumulator, openings, chunk_rows)
+    end = (F.col(START) + size_ms).alias(END)
+    once = finished(firsts, group, accumulator).select(
+        *group, end, F.lit("first").alias("firing"), *[F.lit(None).cast("bigint").alias(c) for c in order], *results
+    )
+    more = again.select(*group, end, F.lit("refire").alias("firing"), *order, *results)
+    return once.unionByName(more)

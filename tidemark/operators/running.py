@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark.operators.accumulators import Accumulator, Reduced, running_accumulate
 from tidemark.plans.chunks import CHUNK, plan_chunks
 from tidemark.plans.scans import prefix_scan
 
@@ -36,6 +38,40 @@ def running_count(
     return running_sum(df, keys, one, order, name, chunk_rows)
 
 
+def running_reduce(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    function: Callable[[dict, dict], dict],
+    schema: str,
+    chunk_rows: int | None = None,
+) -> DataFrame:
+    """Running reduce per key by any associative ``function`` of two records.
+
+    ``schema`` names the columns of a record, all of them columns of ``df``. Gives ``keys``,
+    ``order`` and, as ``schema`` says, the record reduced from the key's rows up to each; the
+    first row of a key gives its own.
+    """
+    reduced = Reduced(schema, function)
+    renamed = {c: f"__row_{c}" for c in dict.fromkeys([*keys, *order]) if c in reduced.columns}
+    rows = df.select(
+        *[F.col(c).alias(renamed.get(c, c)) for c in dict.fromkeys([*keys, *order])], *reduced.columns
+    )
+    own = lambda names: [renamed.get(c, c) for c in names]
+    out = running_accumulate(rows, own(keys), own(order), _Named(reduced), chunk_rows=chunk_rows)
+    kept = [F.col(renamed.get(c, c)).alias(c) for c in dict.fromkeys([*keys, *order]) if c not in renamed]
+    return out.select(*kept, *[F.col(f"__reduced_{c}").alias(c) for c in reduced.columns])
+
+
+class _Named(Accumulator):
+    """An accumulator whose results have names of their own."""
+
+    def __init__(self, inner: Reduced):
+        types = T.StructType.fromDDL(inner.schema).fields
+        self.schema = ", ".join(f"`__reduced_{f.name}` {f.dataType.simpleString()}" for f in types)
+        self.create, self.add, self.merge, self.finish = inner.create, inner.add, inner.merge, inner.finish
+
+
 def most_active(df: DataFrame, user: str, seq: str) -> DataFrame:
     """The user with most rows; on a tie, the one whose last row came last."""
     counts = df.groupBy(user).agg(F.count("*").alias("cnt"), F.max(seq).alias("last_seq"))
