@@ -1,12 +1,14 @@
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
 from tidemark.functions.time import window_start
-from tidemark.operators import lateness, parsing, reconcile, routing, timers, topn, windows
-from tidemark.sources.custom import EventFeed, register_feed
+from tidemark.operators import lateness, parsing, reconcile, routing, timers, topn, watermarks, windows
+from tidemark.session import fresh_path
+from tidemark.sources.custom import EventFeed, FilesFeed, register_feed
 from tidemark.sources.events import with_event_time
 from tidemark.sources.text import stream_lines
 from tidemark.streaming import processors, sinks
@@ -160,6 +162,15 @@ def test_reconcile_streams(spark, ordered_stream):
     assert got == rows_of(batch)
 
 
+def test_union_streams(spark, ordered_stream):
+    """Windows close as the slow side moves on, not before; none of its rows is late."""
+    fast = with_event_time(ordered_stream([[(1, "a", "u", 1000)], [(2, "a", "u", 50_000)], [(3, "a", "u", 90_000)]], EVENT), "0 seconds")
+    slow = with_event_time(ordered_stream([[(4, "b", "u", 2000)], [(5, "b", "u", 9_999)], [(6, "b", "u", 21_000)]], EVENT), "0 seconds")
+    counts = windows.window_aggregate(watermarks.union_streams(fast, slow), ["user"], 10_000)
+    out = sinks.run_to_table(counts, "slow")
+    assert rows_of(out, "user", "window_start_ms", "pv") == [("a", 0, 1), ("b", 0, 2)]
+
+
 def test_union_keeps_slow_windows_open(spark, ordered_stream):
     fast = with_event_time(ordered_stream([[(1, "a", "u", 1000)], [(2, "a", "u", 50_000)]], EVENT), "0 seconds")
     slow = with_event_time(ordered_stream([[(3, "b", "u", 2000)], [(4, "b", "u", 9_999)]], EVENT), "0 seconds")
@@ -214,3 +225,35 @@ def test_custom_source(spark):
     stream = spark.readStream.format("counter").option("rows", 5).load()
     out = sinks.run_to_table(stream.groupBy("user").count(), "feed", "update", ["user"])
     assert rows_of(out) == [("user-0", 3), ("user-1", 2)]
+
+
+def test_custom_source_is_read_by_tasks(spark, monkeypatch):
+    """Each split is a task of its own, outside the driver, in batches of bounded size."""
+    register_feed(spark, Counter, "counter")
+    stream = spark.readStream.format("counter").option("rows", 25_001).load()
+    path = fresh_path(spark, "feed")
+    part = lambda batch: batch.withColumn("part", F.spark_partition_id())
+    sinks.start_table(stream, path, transform=part).awaitTermination()
+    rows = spark.read.parquet(f"{path}/data")
+    assert sorted(r["count"] for r in rows.groupBy("part").count().collect()) == [6250, 6250, 6250, 6251]
+    assert rows.select("ts_ms").distinct().count() == 25_001
+    feed = Counter({"rows": "25001"})
+    assert feed.splits(7, 7) == [] and feed.splits(0, 3) == [(0, 1), (1, 2), (2, 3)]
+    arrow = pa.schema([("user", pa.string()), ("url", pa.string()), ("ts_ms", pa.int64())])
+    assert [b.num_rows for b in feed.batches((0, 25_001), arrow)] == [10_000, 10_000, 5_001]
+
+
+def test_files_feed_goes_on(spark, tmp_path):
+    """Files added later are read by the next run, those before are not read again."""
+    register_feed(spark, FilesFeed, "files")
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "seq bigint, user string, ts timestamp"
+    seen = []
+    for i in range(3):
+        made = spark.range(10 * i, 10 * i + 10).selectExpr("id AS seq", "IF(id % 3 = 0, NULL, 'u') AS user", "timestamp_seconds(id) AS ts")
+        made.repartition(4).write.parquet(f"{folder}/{i:03d}")
+        stream = spark.readStream.format("files").option("path", folder).option("schema", schema).load()
+        sinks.start_table(stream, out).awaitTermination()
+        seen.append(sinks.read_table(stream, out).count())
+    rows = sinks.read_table(stream, out)
+    assert seen == [10, 20, 30] and rows_of(rows) == rows_of(spark.read.parquet(f"{folder}/*"), "seq", "user", "ts")

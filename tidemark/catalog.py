@@ -22,10 +22,12 @@ from tidemark.functions.time import epoch_ms
 from tidemark.operators import accumulators, lateness, parsing, patterns, reconcile, routing, running
 from tidemark.operators import tables, timers, topn, watermarks, windows
 from tidemark.session import cut_lineage, fresh_path
+from tidemark.sources.custom import FilesFeed, register_feed
 from tidemark.sources.events import clicks, staged_stream, stream_clicks, stream_table, table, with_event_time
 from tidemark.sources.text import lines_of
 from tidemark.streaming import inputs, processors, sinks
 from tidemark.streaming.late import LateCounts
+from tidemark.streaming.late_windows import LateWindows
 from tidemark.streaming.patterns import PatternMatches
 from tidemark.streaming.running import RunningCounts
 
@@ -237,6 +239,24 @@ def changelog_count(spark, folder):
     return running.changelog_count(clicks(spark, folder), "user", "url", ["ts_ms", "seq"])
 
 
+@query(f"""WITH {CLICKS}, spaced AS (
+  SELECT *, coalesce(ts_ms - lag(ts_ms) OVER (PARTITION BY "user" ORDER BY ts_ms, seq), 0) AS gap FROM clicks)
+SELECT "user", ts_ms, seq, first_value(ts_ms) OVER w AS first_ms, ts_ms AS last_ms, max(gap) OVER w AS longest
+FROM spaced WINDOW w AS (PARTITION BY "user" ORDER BY ts_ms, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def running_reduce(spark, folder):
+    def spell(a: dict, b: dict) -> dict:
+        longest = max(a["longest"], b["longest"], b["first_ms"] - a["last_ms"])
+        return {"first_ms": a["first_ms"], "last_ms": b["last_ms"], "longest": longest}
+
+    at = F.col("ts_ms")
+    rows = clicks(spark, folder).select(
+        "user", "seq", "ts_ms", at.alias("first_ms"), at.alias("last_ms"), F.lit(0).cast("bigint").alias("longest")
+    )
+    return running.running_reduce(
+        rows, ["user"], ["ts_ms", "seq"], spell, "first_ms bigint, last_ms bigint, longest bigint"
+    )
+
+
 @query(f"""WITH {CLICKS}, grouped AS (
   SELECT "user", ts_ms, (row_number() OVER (PARTITION BY "user" ORDER BY ts_ms, seq) - 1) // 5 AS group_no
   FROM clicks)
@@ -380,6 +400,45 @@ def late_refire(spark, folder):
     return lateness.refiring_counts(classified, ["user"], ARRIVAL, 10 * HOUR)
 
 
+class OffsetAndVisitors(accumulators.Accumulator):
+    """Mean time into the window, and distinct users."""
+
+    schema = "mean_offset double, uv bigint"
+
+    def __init__(self, size_ms: int):
+        self.size_ms = size_ms
+
+    def create(self) -> tuple[int, int, set]:
+        return 0, 0, set()
+
+    def add(self, held: tuple[int, int, set], rows: pa.RecordBatch) -> tuple[int, int, set]:
+        held[2].update(rows.column("user").to_pylist())
+        offsets = [ts % self.size_ms for ts in rows.column("ts_ms").to_pylist()]
+        return held[0] + len(offsets), held[1] + sum(offsets), held[2]
+
+    def merge(self, held: tuple[int, int, set], other: tuple[int, int, set]) -> tuple[int, int, set]:
+        return held[0] + other[0], held[1] + other[1], held[2] | other[2]
+
+    def finish(self, held: tuple[int, int, set]) -> tuple[float, int]:
+        return held[1] / held[0], len(held[2])
+
+
+@query(f"""WITH {CLASSIFIED}, kept AS (
+  SELECT *, ts_ms - window_start_ms AS away, lateness = 'late' AS late FROM classified WHERE lateness <> 'dropped'),
+run AS (
+  SELECT *, avg(away) OVER w AS mean_offset, count(DISTINCT "user") OVER w AS uv FROM kept WINDOW w AS (
+    PARTITION BY url, window_start_ms ORDER BY late, arr, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT url, window_start_ms, window_start_ms + {10 * HOUR} AS window_end_ms, 'first' AS firing,
+  NULL::BIGINT AS arr, NULL::BIGINT AS seq, avg(away) AS mean_offset, count(DISTINCT "user")::BIGINT AS uv
+FROM kept WHERE NOT late GROUP BY 1, 2
+UNION ALL SELECT url, window_start_ms, window_start_ms + {10 * HOUR}, 'refire', arr, seq, mean_offset, uv::BIGINT
+FROM run WHERE late""")
+def late_refire_any(spark, folder):
+    rows = arrivals(spark, folder).select("arr", "seq", "user", "url", "ts_ms")
+    classified = lateness.classify(rows, ARRIVAL, **LATE)
+    return lateness.refirings(classified, ["url"], ARRIVAL, 10 * HOUR, OffsetAndVisitors(10 * HOUR))
+
+
 # --- timers --------------------------------------------------------------------
 
 
@@ -640,6 +699,49 @@ def stream_late_refire(spark, folder):
     return sink.firings(spark).unionByName(sink.still_open(spark))
 
 
+@query(ORACLES["late_refire_any"])
+def stream_late_refire_any(spark, folder):
+    rows = arrivals(spark, folder).select("arr", "seq", "user", "url", "ts_ms")
+    held = OffsetAndVisitors(10 * HOUR)
+    sink = LateWindows(fresh_path(spark, "late"), ["url"], ARRIVAL, held, **LATE)
+    sink.start(staged_stream(rows, ARRIVAL, 3)).awaitTermination()
+    return sink.firings(spark).unionByName(sink.still_open(spark))
+
+
+#: So far the feed of other events lags behind that of visits.
+LAG = 30 * DAY
+
+
+@query(f"""WITH {CLICKS}, shifted AS (
+  SELECT url IN ('click', 'view') AS visit, url, CASE WHEN url IN ('click', 'view') THEN ts_ms ELSE ts_ms - {LAG} END AS ts_ms
+  FROM clicks),
+mark AS (SELECT min(top) - {2 * HOUR} AS mark FROM (SELECT max(ts_ms) AS top FROM shifted GROUP BY visit)),
+counts AS (
+  SELECT url, ts_ms // {10 * HOUR} * {10 * HOUR} AS window_start_ms, count(*)::BIGINT AS pv FROM shifted GROUP BY ALL)
+SELECT url, window_start_ms, window_start_ms + {10 * HOUR} AS window_end_ms, pv
+FROM counts, mark WHERE window_start_ms + {10 * HOUR} <= mark""")
+def stream_union_watermark(spark, folder):
+    rows = clicks(spark, folder)
+    is_visit = F.col("url").isin("click", "view")
+    late = rows.where(~is_visit).withColumn("ts_ms", F.col("ts_ms") - LAG)
+    sides = [
+        with_event_time(staged_stream(side, ["ts_ms"], 3), "2 hours") for side in (rows.where(is_visit), late)
+    ]
+    counts = windows.window_aggregate(watermarks.union_streams(*sides), ["url"], 10 * HOUR)
+    return sinks.run_to_table(counts, "union")
+
+
+@query(f"WITH {CLICKS} SELECT * FROM clicks")
+def stream_custom_feed(spark, folder):
+    path = fresh_path(spark, "feed")
+    rows = clicks(spark, folder)
+    rows.repartition(6).write.parquet(path)
+    register_feed(spark, FilesFeed, "files")
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    stream = spark.readStream.format("files").option("path", path).option("schema", fields).load()
+    return sinks.run_to_table(stream, "feed")
+
+
 @query(ORACLES["late_side_output"])
 def stream_late_side(spark, folder):
     rows = arrivals(spark, folder)

@@ -12,9 +12,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.routing import union_all
 from tidemark.plans.chunks import Chunks
 from tidemark.plans.scans import prefix_scan
 
+POLICY = "spark.sql.streaming.multipleWatermarkPolicy"
+
 
 def with_watermark_seen(
     df: DataFrame,
@@ -53,6 +56,13 @@ def with_union_watermark_seen(
     ).drop(*marks)
 
 
+def union_streams(*streams: DataFrame) -> DataFrame:
+    """Streams of one schema in one query, under the watermark of the slowest: what all of
+    them have passed. A stream that stands still holds windows and timers open."""
+    streams[0].sparkSession.conf.set(POLICY, "min")
+    return union_all(*streams)
+
+
 def time_note(
     user: Column, special: Column, watermark_ms: Column, ts_ms: Column
 ) -> Column:
