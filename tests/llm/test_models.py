@@ -178,23 +178,42 @@ def test_likeness_is_exact_whatever_peels(spark, monkeypatch, rounds):
 def test_top_k(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK_ROWS", 50)
     monkeypatch.setattr(topk, "QUERY_ROWS", 3)
+    monkeypatch.setattr(topk, "LOT_PARTS", 2)
     draw = random.Random(8)
     rows = [(i, [draw.choice([-1.0, -0.5, 0.0, 0.25, 1.0]) for _ in range(6)], "q") for i in range(0, 700, 2)]
     rows += [(1, None, "q"), (3, [float("nan")] * 6, "q"), (50, [None, 1.0, 0, 0, 0, 0], "q"), (5, [0.5], "q")]
     rows = [r for r in rows if r[0] != 50] + [(50, [None, 1.0, 0.0, 0.0, 0.0, 0.0], "q"), (7, rows[3][1], "q")]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, q string")
     got = sorted(tuple(r) for r in topk.top_k(df, F.col("vec_id") % 50 == 0).collect())
-    good = {}
+    good = []
     for i, v, _ in rows:
         if v and all(x is not None and math.isfinite(x) for x in v):
-            good[i] = [math.floor(256 * x) for x in v] + [0] * (6 - len(v))
+            good.append((i, [math.floor(256 * x) for x in v] + [0] * (6 - len(v))))
     want = []
-    for q in (i for i in good if i % 50 == 0):
-        scored = sorted((-sum(a * b for a, b in zip(good[q], v)), i) for i, v in good.items() if i != q)
-        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:5])]
+    for at, (q, w) in enumerate(good):
+        if q % 50 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(w, v)), i) for j, (i, v) in enumerate(good) if j != at)
+            want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:5])]
     assert got == sorted(want)
 
 
+def test_top_k_repeated_and_large(spark):
+    """Only a query's own row is no candidate; scores that would not fit are refused."""
+    kind = "vec_id long, embedding array<double>"
+    rows = spark.createDataFrame([(50, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [1.0, 1.0])], kind)
+    one = 256 * 256
+    assert sorted(tuple(r) for r in topk.top_k(rows, F.col("vec_id") == 50).collect()) == sorted(
+        [(50, 1, 1, one), (50, 2, 50, 0), (50, 1, 1, one), (50, 2, 50, 0)]
+    )
+    copies = spark.createDataFrame([(50, [1.0])] * 9, kind)
+    assert [r.rank for r in topk.top_k(copies, F.lit(True)).collect()].count(5) == 9
+    with pytest.raises(Exception, match="too large"):
+        topk.top_k(spark.createDataFrame([(50, [1e30, 1.0]), (1, [1e30, 2.0])], kind), F.lit(True)).collect()
+    close = spark.createDataFrame([(0, [5e6, 1.0]), (1, [5e6, 2.0])], kind)
+    q = 256 * 5_000_000
+    assert sorted(r.score for r in topk.top_k(close, F.col("vec_id") == 0).collect()) == [q * q + 256 * 512]
+
+
 def test_top_k_of_few_and_none(spark):
     kind = "vec_id long, embedding array<float>"
     two = spark.createDataFrame([(0, [1.0, 0.0]), (50, [0.5, 2.0])], kind)

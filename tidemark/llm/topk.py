@@ -6,19 +6,22 @@ where its weight is positive and from the bottom where it is negative. No row be
 the walk can score above the weighted sum of the values at the frontier; once that
 bound is under the k-th best score so far, the rest of the block is skipped.
 
-Blocks of queries meet blocks of rows in an equi-join on the query block; a task keeps
-the best rows of its queries, and a final ranking merges the tasks.
+Packed queries are sent to all blocks, which are much larger, in lots of bounded size: a
+task has one block and one lot at a time, sorts the block's lists once, and keeps the best
+rows of its queries. A final ranking merges the tasks.
 
 Defined cases: vectors that are null or hold null or non-finite components take no part;
-shorter vectors are filled up with zeros; rows with the query's own vec_id are no
-candidates; ties go to the smaller vec_id; fewer candidates than k give fewer rows;
-repeated rows are candidates each; an empty table gives an empty result; other columns
-are ignored.
+shorter vectors are filled up with zeros; a query's own row is no candidate, other rows
+with its vec_id are; repeated query rows are asked each; ties go to the smaller vec_id;
+fewer candidates than k give fewer rows; repeated rows are candidates each; rows without
+vec_id take no part; an empty table gives an empty result; other columns are ignored. A
+component too large for exact 64-bit scores (131072 in 4096 dimensions) is an error.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +30,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.registry import query, table
+from tidemark.session import cut_lineage
 
 SCALE = 256.0
-BLOCK_ROWS = 4096
+BLOCK_ROWS, LEAST_BLOCK = 4096, 256
 QUERY_ROWS = 512
+#: Query parts that meet a block in one go.
+LOT_PARTS = 64
 FIRST_DEPTH = 8
 
 
@@ -40,32 +46,35 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & F.coalesce(good, F.lit(False))
 
 
-def quantised(vector: Column) -> Column:
-    return F.transform(vector, lambda x: F.floor(F.lit(SCALE) * x.cast("double")))
+def quantised(vector: Column, most: int) -> Column:
+    """Integer components; an error if one is not below ``most`` in size."""
+
+    def component(x: Column) -> Column:
+        scaled = F.lit(SCALE) * x.cast("double")
+        too_large = F.raise_error(F.lit("a component is too large for exact scores"))
+        return F.when(F.abs(scaled) < most, F.floor(scaled)).otherwise(too_large)
+
+    return F.transform(vector, component)
 
 
 def _pack(name: str, width: int):
     def pack(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        ids = rows.column("vec_id").to_numpy().astype(np.int64)
-        order = np.argsort(ids, kind="stable")
         lists = rows.column("q").combine_chunks()
         ends = lists.offsets.to_numpy()
         values = lists.values.to_numpy(zero_copy_only=False)
-        matrix = np.zeros((len(ids), width), np.int64)
+        matrix = np.zeros((rows.num_rows, width), np.int64)
         for i, (a, b) in enumerate(zip(ends[:-1], ends[1:])):
             matrix[i, : b - a] = values[a:b]
-        return pa.table(
-            {
-                name: pa.array([key[0].as_py()], pa.int32()),
-                f"{name}_ids": pa.array([ids[order].tobytes()], pa.binary()),
-                f"{name}_values": pa.array([matrix[order].tobytes()], pa.binary()),
-            }
-        )
+        ids, numbers = (rows.column(c).to_numpy().astype(np.int64) for c in ("vec_id", "row"))
+        order = np.argsort(ids, kind="stable")
+        packed = {"ids": ids[order], "rows": numbers[order], "values": matrix[order]}
+        columns = {f"{name}_{k}": pa.array([v.tobytes()], pa.binary()) for k, v in packed.items()}
+        return pa.table({name: pa.array([key[0].as_py()], pa.int32())} | columns)
 
     return pack
 
 
-def _walk(rows: np.ndarray, order: np.ndarray, weights: np.ndarray, banned, k: int, bar: int):
+def _walk(rows: np.ndarray, order: np.ndarray, weights: np.ndarray, banned: np.ndarray, k: int, bar: int):
     """Rows of a block that can be among the best ``k``: indices and scores.
 
     ``bar`` is a score that k rows of earlier blocks reach; the walk ends once the
@@ -84,8 +93,7 @@ def _walk(rows: np.ndarray, order: np.ndarray, weights: np.ndarray, banned, k: i
             seen[order[:depth, d] if up else order[n - depth :, d]] = True
         if depth >= n or not len(active):
             seen[:] = True
-        if banned is not None:
-            seen[banned] = False
+        seen[banned] = False
         at = np.flatnonzero(seen)
         scores = rows[at] @ weights
         if depth >= n or not len(active):
@@ -101,78 +109,80 @@ def _walk(rows: np.ndarray, order: np.ndarray, weights: np.ndarray, banned, k: i
 
 def _search(k: int, width: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[int, list[tuple[int, int]]] = {}
+        best: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        block = order = None
         for batch in batches:
             for row in batch.to_pylist():
-                ids = np.frombuffer(row["block_ids"], np.int64)
-                rows = np.frombuffer(row["block_values"], np.int64).reshape(-1, width)
-                order = np.argsort(rows, axis=0, kind="stable")
-                asked = np.frombuffer(row["part_ids"], np.int64)
+                ids, numbers = (np.frombuffer(row[f"block_{c}"], np.int64) for c in ("ids", "rows"))
+                values = np.frombuffer(row["block_values"], np.int64).reshape(-1, width)
+                if block != row["block"]:
+                    block, order = row["block"], np.argsort(values, axis=0, kind="stable")
+                asked, asking = (np.frombuffer(row[f"part_{c}"], np.int64).tolist() for c in ("ids", "rows"))
                 weights = np.frombuffer(row["part_values"], np.int64).reshape(-1, width)
-                for q, w in zip(asked.tolist(), weights):
-                    held = best.setdefault(q, [])
+                for q, number, w in zip(asked, asking, weights):
+                    held = best.setdefault((number, q), [])
                     bar = -held[k - 1][0] if len(held) >= k else -(1 << 62)
-                    a, b = np.searchsorted(ids, [q, q + 1])
-                    own = slice(a, b) if b > a else None
-                    at, scores = _walk(rows, order, w, own, k, bar)
+                    at, scores = _walk(values, order, w, np.flatnonzero(numbers == number), k, bar)
                     held += zip((-scores).tolist(), ids[at].tolist())
                     held.sort()
                     del held[k:]
-        flat = [(q, v, -s) for q, held in best.items() for s, v in held]
-        yield pa.RecordBatch.from_pydict(
-            {
-                "query_id": pa.array([x[0] for x in flat], pa.int64()),
-                "vec_id": pa.array([x[1] for x in flat], pa.int64()),
-                "score": pa.array([x[2] for x in flat], pa.int64()),
-            }
-        )
+        flat = [(number, q, v, -s) for (number, q), held in best.items() for s, v in held]
+        names = ["query_row", "query_id", "vec_id", "score"]
+        yield pa.RecordBatch.from_pydict({n: pa.array([x[i] for x in flat], pa.int64()) for i, n in enumerate(names)})
 
     return search
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vector: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` best rows for each row with ``is_query``."""
-    good = vectors.where(usable(F.col(vector)) & F.col("vec_id").isNotNull()).select(
-        "vec_id", quantised(F.col(vector)).alias("q"), is_query.alias("asks")
+    usable_rows = vectors.where(usable(F.col(vector)) & F.col("vec_id").isNotNull())
+    width = usable_rows.agg(F.coalesce(F.max(F.size(vector)), F.lit(0))).first()[0]
+    most = isqrt((1 << 62) // max(1, width))
+    # Numbers of rows hold once they are written.
+    good = cut_lineage(
+        usable_rows.select(
+            F.monotonically_increasing_id().alias("row"), "vec_id",
+            quantised(F.col(vector), most).alias("q"), is_query.alias("asks"),
+        )
     )
-    size = good.agg(
-        F.count("*").alias("n"),
-        F.coalesce(F.max(F.size("q")), F.lit(0)).alias("width"),
-        F.count(F.when(F.col("asks"), 1)).alias("asks"),
-    ).first()
-    blocks = max(1, -(-size.n // BLOCK_ROWS))
+    size = good.agg(F.count("*").alias("n"), F.count(F.when(F.col("asks"), 1)).alias("asks")).first()
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    blocks = max(1, -(-size.n // BLOCK_ROWS), min(cores, size.n // LEAST_BLOCK))
     parts = max(1, -(-size.asks // QUERY_ROWS))
 
     def packed(rows: DataFrame, name: str, n: int) -> DataFrame:
-        schema = f"{name} int, {name}_ids binary, {name}_values binary"
-        dealt = rows.withColumn(name, F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int"))
-        return dealt.groupBy(name).applyInArrow(_pack(name, size.width), schema)
+        schema = f"{name} int, {name}_ids binary, {name}_rows binary, {name}_values binary"
+        dealt = rows.withColumn(name, F.pmod(F.xxhash64("row"), F.lit(n)).cast("int"))
+        return dealt.groupBy(name).applyInArrow(_pack(name, width), schema)
+
+    def numbers(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    asked = packed(good.where("asks").dropDuplicates(["vec_id"]), "part", parts)
-    held = packed(good, "block", blocks).withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    asked = packed(good.where("asks"), "part", parts).select(
+        "*", F.floor(F.col("part") / LOT_PARTS).cast("int").alias("lot"), numbers(blocks).alias("block")
     )
-    found = held.join(asked, "part").mapInArrow(
-        _search(k, size.width), "query_id long, vec_id long, score long"
+    held = packed(good, "block", blocks).withColumn("lot", numbers(-(-parts // LOT_PARTS)))
+    found = held.join(asked, ["block", "lot"]).mapInArrow(
+        _search(k, width), "query_row long, query_id long, vec_id long, score long"
     )
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    rank = F.row_number().over(W.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score"
     )
 
 
 @query("""
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+  SELECT a.r, a.vec_id AS query_id, b.vec_id AS vec_id,
     CAST(list_dot_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
+  FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 50 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 5""")
 def op10_topk(spark, folder):
     vectors = table(spark, folder, "embeddings")
