@@ -9,7 +9,7 @@ grow in number with the data, not in size.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -160,12 +160,20 @@ def cut_runs(values: np.ndarray, ok: np.ndarray, longest: int, alone: np.ndarray
     return at[first], np.diff(np.append(first, len(at)))
 
 
+def parted(home: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each number that occurs in ``home``, with its places in order: one sort, however
+    many numbers there are."""
+    order = np.argsort(home, kind="stable")
+    starts = np.flatnonzero(np.diff(home[order], prepend=-1))
+    for b, mine in zip(home[order[starts]].tolist(), np.split(order, starts[1:]) if len(starts) else ()):
+        yield b, mine
+
+
 def request_rows(batch: int, kind: int, buckets: int, keys, checks=None, owners=None) -> list[tuple]:
     """One row per bucket for sorted distinct ``keys``."""
     home = (keys % np.uint64(buckets)).astype(np.int64)
     rows = []
-    for b in np.unique(home).tolist():
-        mine = home == b
+    for b, mine in parted(home):
         rows.append(
             (batch, b, kind, keys[mine].tobytes(), None if checks is None else checks[mine].tobytes(),
              None if owners is None else owners[mine].tobytes(), None)
@@ -247,10 +255,10 @@ def answers(requests: DataFrame) -> DataFrame:
 def read_bits(rows: list[dict], kind: int, buckets: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The answers to ``keys`` (as in :func:`request_rows`): held, hot."""
     yes, hot = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
-    home = (keys % np.uint64(buckets)).astype(np.int64)
+    places = dict(parted((keys % np.uint64(buckets)).astype(np.int64)))
     for r in rows:
         if r["kind"] == kind:
-            mine = np.flatnonzero(home == r["bucket"])
+            mine = places[r["bucket"]]
             bits = np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=2 * len(mine)).astype(bool)
             yes[mine], hot[mine] = bits[: len(mine)], bits[len(mine) :]
     return yes, hot

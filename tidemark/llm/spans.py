@@ -147,11 +147,12 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
         # Edges that are settled here are sent all the same: other batches ask for them.
         home = (keys % np.uint64(buckets)).astype(np.int64)
         spot = np.zeros(len(keys), np.int64)
-        for b in np.unique(home).tolist():
-            mine = np.flatnonzero(home == b)
+        open_edges = np.flatnonzero(~twice & ~known)
+        asking = dict(shared.parted(home[place[open_edges]]))
+        for b, mine in shared.parted(home):
             spot[mine] = np.arange(len(mine))
-            asked = (home[place] == b) & ~twice & ~known
-            note = np.zeros(int(asked.sum()), NOTE)
+            asked = open_edges[asking.get(b, np.zeros(0, np.int64))]
+            note = np.zeros(len(asked), NOTE)
             note["start"], note["count"], note["key"] = start[asked], 1, spot[place[asked]]
             out.append((batch, b, CHECKED, keys[mine].tobytes(), checks[mine].tobytes(), None, note.tobytes()))
         return shared.table_of(out, shared.REQUEST_ARROW)

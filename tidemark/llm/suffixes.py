@@ -307,8 +307,7 @@ def without_earlier(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
         joined = np.frombuffer(b"".join(b.texts), np.uint8)
         bucket = (home % np.uint64(buckets)).astype(np.int64)
         out = []
-        for n in np.unique(bucket).tolist():
-            mine = np.flatnonzero(bucket == n)
+        for n, mine in shared.parted(bucket):
             order, first = shared.grouped(digest[mine], None)
             sizes = np.diff(np.append(first, len(order)))
             picked = mine[order[first]]
