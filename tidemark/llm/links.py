@@ -1,23 +1,25 @@
 """Verify candidate groups and join what is linked, without all pairs of a group.
 
-Small groups (keys) are compared pair by pair. A larger one has a hub, the member that
-shares most keys; its members are compared with the hub alone, exactly. Groups whose members then are of one component are done. In the
-others, a pair may still be linked that the hub does not join. Write D(x) for the tokens
-in which x differs from the hub. If x and y are linked and y is not linked to the hub,
-then D(x) and D(y) share a token: |D(x)| + |D(y)| is above the difference that a linked
-pair can have, by the triangle inequality. By the prefix argument it is enough to look
-at the first ``limit + 1`` tokens of D(x) in a common order, where ``limit`` is the
-largest difference that x can have to a linked set. So members are grouped anew by hub
-and such tokens. Of these groups, small ones are compared pair by pair (across
-components), larger ones get a hub of their own, until none is left.
-
-Components come from distributed union-find: large-star and small-star steps over tables.
+Small groups (keys) are compared pair by pair. A larger one has a hub, the member with the
+least name; its members are compared with the hub alone, exactly. Groups whose members then
+are of one component are done. In the others, a pair may still be linked that the hub does
+not join. Write D(x) for the tokens in which x differs from the hub. If x and y are linked
+and y is not linked to the hub, then D(x) and D(y) share a token: |D(x)| + |D(y)| is above
+the difference that a linked pair can have, by the triangle inequality. By the prefix
+argument it is enough to look at the first ``limit + 1`` tokens of D(x) in a common order,
+where ``limit`` is the largest difference that x can have to a linked set. So members are
+grouped anew by hub and such tokens. Of these groups, small ones are compared pair by pair
+(across components), larger ones get a hub of their own, until none is left; each turn a
+group loses at least its hub.
+
+Components come from distributed union-find: edges are first joined within each partition,
+then by large-star and small-star steps over tables. A turn's edges are laid between the
+components known so far, so each is joined once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +34,8 @@ SMALL = 24
 #: Sets that a worker holds for the pairs to come.
 KNOWN = 256
 _CLASS = np.uint64(0x9FB21C651E98DF25)
-#: Rounds of hubs; what is left after them is compared pair by pair.
-ROUNDS = 8
+#: So many members are compared with one copy of their hub.
+HUB_MEMBERS = 512
 
 
 def sized(keys: np.ndarray, size: int, percent: int) -> np.ndarray:
@@ -46,11 +48,33 @@ def sized(keys: np.ndarray, size: int, percent: int) -> np.ndarray:
     return np.concatenate([mixed(keys + np.uint64(c) * _CLASS) for c in (place, place + 1)])
 
 
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges of one partition as stars around the least node of each of its components."""
+    above: dict[bytes, bytes] = {}
+
+    def top(x: bytes) -> bytes:
+        root = x
+        while above[root] != root:
+            root = above[root]
+        while above[x] != root:
+            above[x], x = root, above[x]
+        return root
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            x, y = top(above.setdefault(a, a)), top(above.setdefault(b, b))
+            if x != y:
+                above[max(x, y)] = min(x, y)
+    stars = [(x, top(x)) for x in above]
+    rows = [(x, r) for x, r in stars if x != r]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1)], names=["a", "b"]
+    )
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, root`` of the nodes in ``edges`` (``a, b``); the root is the least node."""
-    current = cut_lineage(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    )
+    current = cut_lineage(edges.where("a <> b").select("a", "b").mapInArrow(_forest, "a binary, b binary"))
     state = _state(current)
     while True:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -67,6 +91,25 @@ def components(edges: DataFrame) -> DataFrame:
             return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())
 
 
+def grown(roots: DataFrame | None, edges: DataFrame) -> DataFrame | None:
+    """``roots`` (``node, root``) after joining the ends of further ``edges`` (``a, b``)."""
+    if edges.isEmpty():
+        return roots
+    if roots is None:
+        return cut_lineage(components(edges))
+    for end in ("a", "b"):
+        known = roots.select(F.col("node").alias(end), F.col("root").alias("known"))
+        edges = edges.join(known, end, "left").withColumn(end, F.coalesce("known", end)).drop("known")
+    between = cut_lineage(edges.where("a <> b").distinct())
+    if between.isEmpty():
+        return roots
+    joined = cut_lineage(components(between))
+    moved = joined.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    moved = roots.join(moved, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    fresh = joined.join(roots.select("node"), "node", "left_anti")
+    return cut_lineage(moved.unionByName(fresh.select("node", "root")))
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
@@ -74,9 +117,9 @@ def _state(edges: DataFrame) -> tuple:
 def _verify(set_of: Callable[[bytes], np.ndarray], percent: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked, again = [], []
+            linked, again, hubs = [], [], batch.column(2).to_pylist()
             known: dict[bytes, np.ndarray] = {}
-            for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for is_hub, left, right in zip(hubs, batch.column(3).to_pylist(), batch.column(4).to_pylist()):
                 for body in (left, right):
                     if body not in known:
                         if len(known) == KNOWN:
@@ -87,87 +130,92 @@ def _verify(set_of: Callable[[bytes], np.ndarray], percent: int):
                 common = np.intersect1d(x, hub, assume_unique=True)
                 union = len(x) + len(hub) - len(common)
                 linked.append(100 * len(common) >= percent * union)
+                if not is_hub:
+                    again.append(None)
+                    continue
                 limit = (100 - percent) * len(x) // percent
                 more = np.setdiff1d(x, common, assume_unique=True)
                 less = np.setdiff1d(hub, common, assume_unique=True)
                 keys = np.concatenate([np.sort(more), mixed(np.sort(less))])[: limit + 1]
                 again.append(keys.astype(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(linked, pa.bool_()),
+                [batch.column(0), batch.column(1), batch.column(2), pa.array(linked, pa.bool_()),
                  pa.array(again, pa.list_(pa.int64()))],
-                names=["a", "b", "linked", "keys"],
+                names=["a", "b", "hub", "linked", "keys"],
             )
 
     return verify
 
 
 def compared(pairs: DataFrame, bodies: DataFrame, set_of, percent: int) -> DataFrame:
-    """``a, b, linked, keys`` of each pair: the exact decision, and tokens to go on with."""
+    """``a, b, hub, linked, keys`` of each pair (``a, b, hub``): the exact decision and, where
+    ``b`` is a hub, tokens to go on with.
+
+    A hub has as many copies as its members need tasks.
+    """
+    copies = F.floor((F.count("*") - 1) / HUB_MEMBERS).cast("int")
+    wanted = pairs.groupBy(F.col("b").alias("node")).agg(copies.alias("last"))
+    right = bodies.join(wanted, "node").select(
+        F.col("node").alias("b"), F.col("body").alias("right"), "last",
+        F.explode(F.sequence(F.lit(0), F.col("last"))).alias("copy"),
+    )
     left = bodies.select(F.col("node").alias("a"), F.col("body").alias("left"))
-    right = bodies.select(F.col("node").alias("b"), F.col("body").alias("right"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return joined.mapInArrow(
-        _verify(set_of, percent), "a binary, b binary, linked boolean, keys array<long>"
+    dealt = pairs.join(wanted.withColumnRenamed("node", "b"), "b")
+    dealt = dealt.withColumn("copy", F.pmod(F.xxhash64("a"), F.col("last") + 1).cast("int"))
+    joined = dealt.select("a", "b", "hub", "copy").join(left, "a").join(right.drop("last"), ["b", "copy"])
+    return joined.select("a", "b", "hub", "left", "right").mapInArrow(
+        _verify(set_of, percent), "a binary, b binary, hub boolean, linked boolean, keys array<long>"
     )
 
 
-def _mixed_groups(members: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """Members (``key, node``) of the groups that hold several components."""
-    rooted = members
+def _with_roots(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     if roots is None:
-        rooted = members.withColumn("root", F.col("node"))
-    else:
-        rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    several = (
-        rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+        return members.withColumn("root", F.col("node"))
+    return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _open_groups(members: DataFrame) -> DataFrame:
+    """Members (``key, node, root``) of the groups that hold several components, with the
+    group's size ``n`` and its ``hub``."""
+    group = members.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("node").alias("hub"), F.min("root").alias("lo"), F.max("root").alias("hi")
     )
-    return rooted.join(several.select("key"), "key", "left_semi").select("key", "node", "root")
+    return members.join(group.where("lo <> hi").drop("lo", "hi"), "key")
 
 
 def link(
     members: DataFrame, bodies: DataFrame, set_of: Callable[[bytes], np.ndarray], percent: int
 ) -> DataFrame | None:
-    """``node, root`` of all nodes linked to another one; None where there is no group.
+    """``node, root`` of all nodes linked to another one; None where there is none.
 
     ``members`` has ``key`` (long) and ``node`` (binary), ``bodies`` the ``body`` of each
     node, from which ``set_of`` makes its sorted distinct tokens.
     """
-    edges: list[DataFrame] = []
     roots: DataFrame | None = None
-    groups = cut_lineage(_mixed_groups(members, None))
-    for turn in range(ROUNDS + 1):
-        if groups.isEmpty():
-            break
-        sizes = groups.groupBy("key").agg(F.count("*").alias("n"))
-        few = SMALL if turn < ROUNDS else None
-        shares = groups.groupBy("node").agg(F.count("*").alias("shares"))
-        many = sizes.where(F.col("n") > few) if few is not None else sizes.limit(0)
-        hubs = (
-            groups.join(shares, "node")
-            .join(many, "key", "left_semi")
-            .groupBy("key")
-            .agg(F.max(F.struct("shares", "node")).alias("hub"))
-            .select("key", F.col("hub.node").alias("b"))
+    groups = cut_lineage(_open_groups(_with_roots(members, None)))
+    while not groups.isEmpty():
+        to_hub = groups.where((F.col("n") > SMALL) & (F.col("node") != F.col("hub"))).select(
+            F.col("node").alias("a"), F.col("hub").alias("b"), F.lit(True).alias("hub")
         )
-        pairs = groups.join(hubs, "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
-        told = cut_lineage(compared(pairs, bodies, set_of, percent))
-        small = groups if few is None else groups.join(sizes.where(F.col("n") <= few), "key", "left_semi")
+        small = groups.where(F.col("n") <= SMALL).select("key", "node", "root")
         other = small.select("key", F.col("node").alias("b"), F.col("root").alias("other"))
-        rest = small.join(other, "key").where("node < b AND root <> other")
-        rest = rest.select(F.col("node").alias("a"), "b").distinct()
-        late = compared(rest, bodies, set_of, percent).where("linked").select("a", "b")
-        found = cut_lineage(told.where("linked").select("a", "b").unionByName(late))
-        if roots is None or not found.isEmpty():
-            edges.append(found)
-            roots = cut_lineage(components(reduce(DataFrame.unionByName, edges)))
-        by_hub = told.select("b", "a").withColumnsRenamed({"b": "key", "a": "node"})
-        by_hub = by_hub.unionByName(told.select(F.col("b").alias("key"), F.col("b").alias("node")))
-        open_hubs = _mixed_groups(by_hub, roots).select(F.col("key").alias("b")).distinct()
-        rest = told.join(open_hubs, "b", "left_semi").select(
-            "a", "b", F.explode("keys").alias("token")
+        each = small.join(other, "key").where("node < b AND root <> other").select(
+            F.col("node").alias("a"), "b", F.lit(False).alias("hub")
+        )
+        pairs = cut_lineage(to_hub.unionByName(each).groupBy("a", "b").agg(F.max("hub").alias("hub")))
+        told = cut_lineage(compared(pairs, bodies, set_of, percent))
+        roots = grown(roots, told.where("linked").select("a", "b"))
+        of_hub = told.where("hub")
+        held = of_hub.select("b", F.col("a").alias("node"), "keys").unionByName(
+            of_hub.select("b", F.col("b").alias("node")).distinct(), allowMissingColumns=True
+        )
+        held = cut_lineage(_with_roots(held, roots))
+        several = held.groupBy("b").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+        rest = held.join(several.select("b"), "b", "left_semi").select(
+            F.explode("keys").alias("token"), "b", "node", "root"
         )
-        rest = rest.select(F.xxhash64("b", "token").alias("key"), F.col("a").alias("node")).distinct()
-        groups = cut_lineage(_mixed_groups(rest, roots))
+        rest = rest.select(F.xxhash64("b", "token").alias("key"), "node", "root").distinct()
+        groups = cut_lineage(_open_groups(rest))
         # Later turns look at the texts of what is left only.
         bodies = cut_lineage(bodies.join(groups.select("node").distinct(), "node", "left_semi"))
     return roots
