@@ -1,16 +1,16 @@
 """Verify candidate groups and join what is linked, without all pairs of a group.
 
-Small groups (keys) are compared pair by pair. A larger one has a hub, the member with the
-least name; its members are compared with the hub alone, exactly. Groups whose members then
-are of one component are done. In the others, a pair may still be linked that the hub does
+Small groups (keys) are compared pair by pair. A larger one has a hub, the member that
+shares most keys; its members are compared with the hub alone, exactly. Groups whose
+members then are of one component are done. In the others, a pair may still be linked that the hub does
 not join. Write D(x) for the tokens in which x differs from the hub. If x and y are linked
 and y is not linked to the hub, then D(x) and D(y) share a token: |D(x)| + |D(y)| is above
 the difference that a linked pair can have, by the triangle inequality. By the prefix
 argument it is enough to look at the first ``limit + 1`` tokens of D(x) in a common order,
 where ``limit`` is the largest difference that x can have to a linked set. So members are
 grouped anew by hub and such tokens. Of these groups, small ones are compared pair by pair
-(across components), larger ones get a hub of their own, until none is left; each turn a
-group loses at least its hub.
+(across components), larger ones get a hub of their own. What is left after ``ROUNDS``
+turns, groups of sets that are alike but not linked, is compared pair by pair.
 
 Components come from distributed union-find: edges are first joined within each partition,
 then by large-star and small-star steps over tables. A turn's edges are laid between the
@@ -34,6 +34,8 @@ SMALL = 24
 #: Sets that a worker holds for the pairs to come.
 KNOWN = 256
 _CLASS = np.uint64(0x9FB21C651E98DF25)
+#: Turns with hubs; what is left after them is compared pair by pair.
+ROUNDS = 8
 #: So many members are compared with one copy of their hub.
 HUB_MEMBERS = 512
 
@@ -176,13 +178,22 @@ def _with_roots(members: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 def _open_groups(members: DataFrame) -> DataFrame:
     """Members (``key, node, root``) of the groups that hold several components, with the
-    group's size ``n`` and its ``hub``."""
+    group's size ``n``."""
     group = members.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("node").alias("hub"), F.min("root").alias("lo"), F.max("root").alias("hi")
+        F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")
     )
     return members.join(group.where("lo <> hi").drop("lo", "hi"), "key")
 
 
+def _to_hubs(groups: DataFrame) -> DataFrame:
+    """Each member of the large groups with its hub: ``a, b, hub``."""
+    shares = groups.groupBy("node").agg(F.count("*").alias("shares"))
+    large = groups.where(F.col("n") > SMALL)
+    hubs = large.join(shares, "node").groupBy("key").agg(F.max(F.struct("shares", "node")).alias("most"))
+    pairs = large.join(hubs.select("key", F.col("most.node").alias("b")), "key").where("node <> b")
+    return pairs.select(F.col("node").alias("a"), "b", F.lit(True).alias("hub"))
+
+
 def link(
     members: DataFrame, bodies: DataFrame, set_of: Callable[[bytes], np.ndarray], percent: int
 ) -> DataFrame | None:
@@ -193,16 +204,17 @@ def link(
     """
     roots: DataFrame | None = None
     groups = cut_lineage(_open_groups(_with_roots(members, None)))
-    while not groups.isEmpty():
-        to_hub = groups.where((F.col("n") > SMALL) & (F.col("node") != F.col("hub"))).select(
-            F.col("node").alias("a"), F.col("hub").alias("b"), F.lit(True).alias("hub")
-        )
-        small = groups.where(F.col("n") <= SMALL).select("key", "node", "root")
+    for turn in range(ROUNDS + 1):
+        if groups.isEmpty():
+            break
+        last = turn == ROUNDS
+        small = (groups if last else groups.where(F.col("n") <= SMALL)).select("key", "node", "root")
         other = small.select("key", F.col("node").alias("b"), F.col("root").alias("other"))
         each = small.join(other, "key").where("node < b AND root <> other").select(
             F.col("node").alias("a"), "b", F.lit(False).alias("hub")
         )
-        pairs = cut_lineage(to_hub.unionByName(each).groupBy("a", "b").agg(F.max("hub").alias("hub")))
+        pairs = each if last else each.unionByName(_to_hubs(groups))
+        pairs = cut_lineage(pairs.groupBy("a", "b").agg(F.max("hub").alias("hub")))
         told = cut_lineage(compared(pairs, bodies, set_of, percent))
         roots = grown(roots, told.where("linked").select("a", "b"))
         of_hub = told.where("hub")
