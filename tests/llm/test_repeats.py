@@ -245,3 +245,38 @@ def test_hot_anchors_are_dealt_singly(spark, monkeypatch):
     df = spark.createDataFrame([row(d, t) for d, t in rows], DOCS)
     columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert rows_of(suffixes.without_earlier(df), *columns) == suffixes_by_hand(rows, 50)
+
+
+def test_lines_of_the_table(spark):
+    """All pairs of lines of 150 documents, compared one by one."""
+    some = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id < 150")
+    rows = sorted((r.doc_id, (r.text or "").encode()) for r in some.collect())
+    first = {}
+    for doc, text in rows:
+        for place, line in enumerate(text.split(b"\n")):
+            if lines.plain(line):
+                first.setdefault(lines.plain(line), (doc, place))
+    bodies = list(first)
+    sets = [set(lines.shingles(b).tolist()) for b in bodies]
+    above = list(range(len(bodies)))
+
+    def top(i):
+        while above[i] != i:
+            i = above[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            common = len(a & sets[j])
+            if common and 100 * common >= 80 * (len(a) + len(sets[j]) - common):
+                above[max(top(i), top(j))] = min(top(i), top(j))
+    keeper = {}
+    for i, body in enumerate(bodies):
+        keeper[top(i)] = min(keeper.get(top(i), first[body]), first[body])
+    want = {}
+    for doc, text in rows:
+        marks = [(place, lines.plain(x)) for place, x in enumerate(text.split(b"\n"))]
+        gone = {p for p, b in marks if b and keeper[top(bodies.index(b))] != (doc, p)}
+        want[doc] = (sum(bool(b) for _, b in marks), len(gone))
+    got = {r.doc_id: (r["__lines"], r["__removed"]) for r in lines.cleaned(some).collect()}
+    assert got == want and sum(n for _, n in want.values()) > 50
