@@ -585,8 +585,8 @@ def cep_times3(spark, folder):
 
 @query(f"""WITH {CLICKS} SELECT "user", url FROM clicks WHERE url = 'click'""")
 def sql_select(spark, folder):
-    view = tables.create_view(clicks(spark, folder), "click_table", ["url", "user"])
-    return tables.sql(spark, "SELECT `user`, url FROM {t} WHERE url = 'click'", t=view)
+    tables.create_view(clicks(spark, folder), "click_table", ["url", "user"])
+    return tables.sql(spark, "SELECT `user`, url FROM click_table WHERE url = 'click'")
 
 
 @query(f"""WITH {CLICKS} SELECT "user", url FROM clicks WHERE "user" = 7""")
