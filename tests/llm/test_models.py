@@ -281,7 +281,10 @@ def test_thresholds_increase():
     draw = np.random.default_rng(0)
     z = draw.normal(size=600)
     grades = np.digitize(z, [0.3, 1.0])
-    w, t = toxicity.ordinal_fit(np.stack([z, draw.normal(size=600)], 1), grades, 3)
+    x = toxicity.Sparse(
+        np.repeat(np.arange(600), 2), np.tile([0, 1], 600), np.stack([z, draw.normal(size=600)], 1).ravel(), (600, 2)
+    )
+    w, t = toxicity.ordinal_fit(x, grades, 3)
     assert t[0] < t[1] and w[0] > 3 * abs(w[1])
 
 

@@ -99,8 +99,24 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 
 
+@dataclass
+class Sparse:
+    """A matrix of which only the entries that are not zero are held."""
+
+    row: np.ndarray
+    column: np.ndarray
+    value: np.ndarray
+    shape: tuple[int, int]
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.value * w[self.column], self.shape[0])
+
+    def transposed_times(self, e: np.ndarray) -> np.ndarray:
+        return np.bincount(self.column, self.value * e[self.row], self.shape[1])
+
+
 def ordinal_fit(
-    x: np.ndarray, grades: np.ndarray, levels: int, *, l2: float = 1e-3, steps: int = 300
+    x: Sparse, grades: np.ndarray, levels: int, *, l2: float = 1e-3, steps: int = 300
 ) -> tuple[np.ndarray, np.ndarray]:
     """Shared weights and increasing thresholds, by accelerated gradient steps on the
     mean log loss of the cumulative logits. Grades weigh alike, whatever their counts."""
@@ -112,10 +128,10 @@ def ordinal_fit(
     second = [np.zeros_like(w), 0.0, np.zeros_like(gaps)]
     for step in range(1, steps + 1):
         t = first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
-        error = (_sigmoid((x @ w)[:, None] - t) - above) * weight / len(grades)
+        error = (_sigmoid(x.times(w)[:, None] - t) - above) * weight / len(grades)
         by_threshold = -error.sum(0)
         later = np.array([by_threshold[k + 1 :].sum() for k in range(levels - 2)])
-        slopes = [x.T @ error.sum(1) + l2 * w, by_threshold.sum(), later * np.exp(gaps)]
+        slopes = [x.transposed_times(error.sum(1)) + l2 * w, by_threshold.sum(), later * np.exp(gaps)]
         moves = []
         for i, g in enumerate(slopes):
             state[i] = 0.9 * state[i] + 0.1 * g
@@ -178,11 +194,12 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_KIND) -> Model
 
     rows_ = sample.mapInArrow(hits, "toxic int, slots binary, counts binary, size long").toPandas()
     rows_ = rows_.sort_values(["toxic", "size", "slots", "counts"], ignore_index=True)
-    x = np.zeros((len(rows_), len(telling)), np.float32)
-    for row, slots, counts in zip(x, rows_["slots"], rows_["counts"]):
-        row[np.frombuffer(slots, np.int32)] = np.log1p(np.frombuffer(counts, np.int32))
+    slots = np.frombuffer(b"".join(rows_["slots"]), np.int32)
+    counts = np.frombuffer(b"".join(rows_["counts"]), np.int32)
+    number = np.repeat(np.arange(len(rows_), dtype=np.int32), rows_["slots"].map(len) // 4)
+    x = Sparse(number, slots, np.log1p(counts), (len(rows_), len(telling)))
     toxic = rows_["toxic"].to_numpy() == 1
-    density = x.sum(1) / np.log(np.e + rows_["size"].to_numpy())
+    density = x.times(np.ones(len(telling))) / np.log(np.e + rows_["size"].to_numpy())
     grades = toxic.astype(int)
     grades[toxic & (density >= np.median(density[toxic]))] = 2
     model.weights, model.thresholds = ordinal_fit(x, grades, 3)
