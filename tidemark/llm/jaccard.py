@@ -175,7 +175,10 @@ def joined(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFra
     found = cut_lineage(
         texts.groupBy("batch").cogroup(asked.groupBy("batch")).applyInArrow(apply, FOUND)
     )
-    members = found.where(F.col("keys").isNotNull()).select(F.explode("keys").alias("key"), "node").distinct()
+    members = found.where(F.col("keys").isNotNull()).select(
+        F.explode("keys").alias("key"), "node", F.octet_length("body").alias("size")
+    )
+    members = members.groupBy("key", "node").agg(F.min("size").alias("size"))
     bodies = found.where(F.col("body").isNotNull()).groupBy("node").agg(F.first("body").alias("body"))
     roots = links.link(members, cut_lineage(bodies), partial(tokens, n=n), percent)
     nodes = found.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id"))

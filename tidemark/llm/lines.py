@@ -165,7 +165,10 @@ def cleaned(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     found = cut_lineage(
         texts.groupBy("batch").cogroup(asked.groupBy("batch")).applyInArrow(candidates, FOUND)
     )
-    members = found.where(F.col("keys").isNotNull()).select(F.explode("keys").alias("key"), "node").distinct()
+    members = found.where(F.col("keys").isNotNull()).select(
+        F.explode("keys").alias("key"), "node", F.octet_length("body").alias("size")
+    )
+    members = members.groupBy("key", "node").agg(F.min("size").alias("size"))
     bodies = found.where(F.col("body").isNotNull()).groupBy("node").agg(F.first("body").alias("body"))
     roots = links.link(members, cut_lineage(bodies), shingles, percent)
     nodes = found.groupBy("node").agg(F.min(F.struct("owner", "place")).alias("first"))

@@ -1,16 +1,18 @@
 """Verify candidate groups and join what is linked, without all pairs of a group.
 
-Small groups (keys) are compared pair by pair. A larger one has a hub, the member that
-shares most keys; its members are compared with the hub alone, exactly. Groups whose
-members then are of one component are done. In the others, a pair may still be linked that the hub does
-not join. Write D(x) for the tokens in which x differs from the hub. If x and y are linked
-and y is not linked to the hub, then D(x) and D(y) share a token: |D(x)| + |D(y)| is above
-the difference that a linked pair can have, by the triangle inequality. By the prefix
-argument it is enough to look at the first ``limit + 1`` tokens of D(x) in a common order,
-where ``limit`` is the largest difference that x can have to a linked set. So members are
-grouped anew by hub and such tokens. Of these groups, small ones are compared pair by pair
-(across components), larger ones get a hub of their own. What is left after ``ROUNDS``
-turns, groups of sets that are alike but not linked, is compared pair by pair.
+Groups with the same members are one. Small groups (keys) are compared pair by pair. A
+larger one has a hub, the member that shares most keys; its members are compared with the
+hub alone, exactly. Groups whose members then are of one component are done. In the others,
+a pair may still be linked that the hub does not join. If such a group is of bounded size,
+one task counts the common tokens of its members and gives back its components, not its
+pairs. For what is larger, write D(x) for the tokens in which x differs from the hub. If x
+and y are linked and y is not linked to the hub, then D(x) and D(y) share a token:
+|D(x)| + |D(y)| is above the difference that a linked pair can have, by the triangle
+inequality. By the prefix argument it is enough to look at the first ``limit + 1`` tokens of
+D(x) in a common order, where ``limit`` is the largest difference that x can have to a linked
+set. So members are grouped anew by hub and such tokens, for another turn. What is left
+after ``ROUNDS`` turns, large groups of sets that are alike but not linked, is cut into parts,
+and every two parts are compared in a task of bounded size.
 
 Components come from distributed union-find: edges are first joined within each partition,
 then by large-star and small-star steps over tables. A turn's edges are laid between the
@@ -33,9 +35,13 @@ from tidemark.session import cut_lineage
 SMALL = 24
 #: Sets that a worker holds for the pairs to come.
 KNOWN = 256
-_CLASS = np.uint64(0x9FB21C651E98DF25)
-#: Turns with hubs; what is left after them is compared pair by pair.
+_CLASS = 0x9FB21C651E98DF25
+#: Turns with hubs; what is left after them is compared part by part.
 ROUNDS = 8
+#: A part of a group has about so many members and bytes of bodies; a task compares two.
+PART_MEMBERS, PART_BYTES = 512, 4 << 20
+#: Tokens whose counts a task adds up at once.
+TOKENS_AT_ONCE = 4096
 #: So many members are compared with one copy of their hub.
 HUB_MEMBERS = 512
 
@@ -47,7 +53,7 @@ def sized(keys: np.ndarray, size: int, percent: int) -> np.ndarray:
     # A hair wider than the ratio, so that rounding parts no pair.
     step = np.log(100 / percent) * (1 + 1e-9) + 1e-12
     place = int(np.log(max(size, 1)) / step)
-    return np.concatenate([mixed(keys + np.uint64(c) * _CLASS) for c in (place, place + 1)])
+    return np.concatenate([mixed(keys + np.uint64(c * _CLASS % (1 << 64))) for c in (place, place + 1)])
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,21 +183,75 @@ def _with_roots(members: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 
 def _open_groups(members: DataFrame) -> DataFrame:
-    """Members (``key, node, root``) of the groups that hold several components, with the
-    group's size ``n``."""
+    """Members (``key, node, size, root``) of the groups that hold several components, with
+    the group's size ``n`` and number of ``parts``. Of groups with the same members, one."""
     group = members.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")
+        F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"),
+        F.sum("size").alias("bytes"),
+        *[F.bit_xor(F.xxhash64(F.lit(i), "node")).alias(f"sign_{i}") for i in (0, 1)],
     )
-    return members.join(group.where("lo <> hi").drop("lo", "hi"), "key")
+    group = group.where("lo <> hi").groupBy("n", "sign_0", "sign_1", "bytes").agg(F.min("key").alias("key"))
+    parts = F.greatest(F.ceil(F.col("n") / PART_MEMBERS), F.ceil(F.col("bytes") / PART_BYTES))
+    return members.join(group.select("key", "n", parts.cast("int").alias("parts")), "key")
 
 
-def _to_hubs(groups: DataFrame) -> DataFrame:
-    """Each member of the large groups with its hub: ``a, b, hub``."""
+def _hubs(groups: DataFrame) -> DataFrame:
+    """The hub ``b`` of each large group: ``key, b``."""
     shares = groups.groupBy("node").agg(F.count("*").alias("shares"))
     large = groups.where(F.col("n") > SMALL)
     hubs = large.join(shares, "node").groupBy("key").agg(F.max(F.struct("shares", "node")).alias("most"))
-    pairs = large.join(hubs.select("key", F.col("most.node").alias("b")), "key").where("node <> b")
-    return pairs.select(F.col("node").alias("a"), "b", F.lit(True).alias("hub"))
+    return hubs.select("key", F.col("most.node").alias("b"))
+
+
+def _block_forest(set_of: Callable[[bytes], np.ndarray], percent: int):
+    def compare(table: pa.Table) -> pa.Table:
+        """The components among the members of one block, as stars."""
+        nodes = table.column("node").to_pylist()
+        sets = [set_of(body) for body in table.column("body").to_pylist()]
+        size = np.array([len(x) for x in sets], np.int64)
+        _, token, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(sets)), size)
+        several = count[token] > 1
+        row, token = row[several], np.unique(token[several], return_inverse=True)[1]
+        order = np.argsort(token, kind="stable")
+        row, token = row[order], token[order]
+        common = np.zeros((len(sets), len(sets)), np.float32)
+        for low in range(0, int(token[-1]) + 1 if len(token) else 0, TOKENS_AT_ONCE):
+            i, j = np.searchsorted(token, [low, low + TOKENS_AT_ONCE])
+            held = np.zeros((len(sets), TOKENS_AT_ONCE), np.float32)
+            held[row[i:j], token[i:j] - low] = 1
+            common += held @ held.T
+        union = size[:, None] + size[None, :] - common.astype(np.int64)
+        linked = 100 * common.astype(np.int64) >= percent * union
+        np.fill_diagonal(linked, True)
+        label = np.arange(len(sets))
+        while True:
+            least = np.where(linked, label, len(sets)).min(1)
+            if (least == label).all():
+                break
+            label = least[least]
+        far = np.flatnonzero(label != np.arange(len(sets))).tolist()
+        return pa.table(
+            {"a": pa.array([nodes[i] for i in far], pa.binary()),
+             "b": pa.array([nodes[label[i]] for i in far], pa.binary())}
+        )
+
+    return compare
+
+
+def within_blocks(groups: DataFrame, bodies: DataFrame, set_of, percent: int) -> DataFrame:
+    """Edges (``a, b``) that join what is linked in the given groups. Each group is dealt
+    into its parts, and two parts make a block."""
+    mine = F.pmod(F.xxhash64("node", F.lit(3)), F.col("parts")).cast("int")
+    rows = groups.select("key", "node", mine.alias("mine"), "parts").withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    )
+    rows = rows.where("parts = 1 OR mine <> other").select(
+        "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "node"
+    )
+    return rows.join(bodies, "node").groupBy("key", "i", "j").applyInArrow(
+        _block_forest(set_of, percent), "a binary, b binary"
+    )
 
 
 def link(
@@ -199,37 +259,40 @@ def link(
 ) -> DataFrame | None:
     """``node, root`` of all nodes linked to another one; None where there is none.
 
-    ``members`` has ``key`` (long) and ``node`` (binary), ``bodies`` the ``body`` of each
-    node, from which ``set_of`` makes its sorted distinct tokens.
+    ``members`` has ``key`` (long), ``node`` (binary) and ``size`` (of its body), ``bodies``
+    the ``body`` of each node, from which ``set_of`` makes its sorted distinct tokens.
     """
     roots: DataFrame | None = None
     groups = cut_lineage(_open_groups(_with_roots(members, None)))
     for turn in range(ROUNDS + 1):
         if groups.isEmpty():
             break
-        last = turn == ROUNDS
-        small = (groups if last else groups.where(F.col("n") <= SMALL)).select("key", "node", "root")
+        small = groups.where(F.col("n") <= SMALL).select("key", "node", "root")
         other = small.select("key", F.col("node").alias("b"), F.col("root").alias("other"))
         each = small.join(other, "key").where("node < b AND root <> other").select(
             F.col("node").alias("a"), "b", F.lit(False).alias("hub")
         )
-        pairs = each if last else each.unionByName(_to_hubs(groups))
-        pairs = cut_lineage(pairs.groupBy("a", "b").agg(F.max("hub").alias("hub")))
+        large = groups.where(F.col("n") > SMALL).select("key", "node", "size")
+        hubs = cut_lineage(_hubs(groups))
+        to_hub = large.join(hubs, "key").where("node <> b").select(
+            F.col("node").alias("a"), "b", F.lit(True).alias("hub")
+        )
+        pairs = cut_lineage(each.unionByName(to_hub).groupBy("a", "b").agg(F.max("hub").alias("hub")))
         told = cut_lineage(compared(pairs, bodies, set_of, percent))
         roots = grown(roots, told.where("linked").select("a", "b"))
-        of_hub = told.where("hub")
-        held = of_hub.select("b", F.col("a").alias("node"), "keys").unionByName(
-            of_hub.select("b", F.col("b").alias("node")).distinct(), allowMissingColumns=True
-        )
-        held = cut_lineage(_with_roots(held, roots))
-        several = held.groupBy("b").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-        rest = held.join(several.select("b"), "b", "left_semi").select(
-            F.explode("keys").alias("token"), "b", "node", "root"
-        )
-        rest = rest.select(F.xxhash64("b", "token").alias("key"), "node", "root").distinct()
-        groups = cut_lineage(_open_groups(rest))
-        # Later turns look at the texts of what is left only.
+        if hubs.isEmpty():
+            break
+        groups = cut_lineage(_open_groups(_with_roots(large, roots)))
+        # Later steps look at the texts of what is left only.
         bodies = cut_lineage(bodies.join(groups.select("node").distinct(), "node", "left_semi"))
+        whole = F.lit(True) if turn == ROUNDS else F.col("parts") <= 2
+        roots = grown(roots, cut_lineage(within_blocks(groups.where(whole), bodies, set_of, percent)))
+        beyond = hubs.join(groups.where(~whole).select("key").distinct(), "key").select("b").distinct()
+        of_hub = told.where("hub").join(beyond, "b", "left_semi")
+        held = of_hub.select(F.col("a").alias("node"), "b", F.explode("keys").alias("token"))
+        held = held.select(F.xxhash64("b", "token").alias("key"), "node").distinct()
+        sizes = bodies.select("node", F.octet_length("body").alias("size"))
+        groups = cut_lineage(_open_groups(_with_roots(held.join(sizes, "node"), roots)))
     return roots
 
 
