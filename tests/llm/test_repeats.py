@@ -280,3 +280,36 @@ def test_lines_of_the_table(spark):
         want[doc] = (sum(bool(b) for _, b in marks), len(gone))
     got = {r.doc_id: (r["__lines"], r["__removed"]) for r in lines.cleaned(some).collect()}
     assert got == want and sum(n for _, n in want.values()) > 50
+
+
+@pytest.mark.parametrize("rounds, members", [(8, 512), (0, 8), (1, 8)])
+def test_large_groups_lose_no_link(spark, monkeypatch, rounds, members):
+    """One group of sets that are alike, linked or just under the threshold: hubs, blocks
+    and parts give the components of all pairs."""
+    monkeypatch.setattr(links, "ROUNDS", rounds)
+    monkeypatch.setattr(links, "PART_MEMBERS", members)
+    monkeypatch.setattr(links, "SMALL", 3)
+    draw = np.random.default_rng(5)
+    base = draw.permutation(200)[:40]
+    sets = {}
+    for i in range(90):
+        own = base.copy()
+        spots = draw.choice(40, int(draw.integers(2, 7)), replace=False)
+        own[spots] = 200 + draw.integers(0, 12, len(spots))
+        sets[i.to_bytes(2, "big")] = np.unique(own).astype(np.uint64)
+    bodies = spark.createDataFrame([(bytearray(n), bytearray(x.tobytes())) for n, x in sets.items()], "node binary, body binary")
+    grouped = bodies.selectExpr("7L AS key", "node", "octet_length(body) AS size")
+    again = bodies.selectExpr("8L AS key", "node", "octet_length(body) AS size")
+    got = links.link(grouped.unionByName(again), bodies, lambda b: np.frombuffer(b, np.uint64), 80)
+    got = {bytes(r.node): bytes(r.root) for r in got.collect()}
+    top = {n: n for n in sets}
+    for _ in sets:
+        for a, x in sets.items():
+            for b, y in sets.items():
+                both = len(np.intersect1d(x, y))
+                if 100 * both >= 80 * (len(x) + len(y) - both):
+                    top[a] = top[b] = min(top[a], top[b])
+        if all(top[top[n]] == top[n] for n in sets):
+            break
+    assert len(set(top.values())) > 1
+    assert {n: got.get(n, n) for n in sets} == top
