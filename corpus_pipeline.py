@@ -2,6 +2,11 @@
 
 Each stage works on what its predecessor kept, written as Parquet and read again. Up to
 the mix, stages return the columns of ``documents``; the last returns packed pieces.
+
+Defined cases: documents with null or blank text count as clean, pass the line and Jaccard
+stages, and are never taken by the mix; without labels of both kinds nothing is toxic; of
+rows that repeat a doc_id and text one stays; rows without doc_id are never taken for
+copies; a null source is a source of its own; empty documents give no pieces.
 """
 
 from __future__ import annotations
