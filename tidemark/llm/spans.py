@@ -192,6 +192,25 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     )
 
 
-@query()
+@query(r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+words AS MATERIALIZED (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+windows AS (
+  SELECT r, p, count(*) OVER here AS n, string_agg(word, ' ') OVER here AS k FROM words
+  WINDOW here AS (PARTITION BY r ORDER BY p ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+marked AS (SELECT r, p, n = 35 AND count(*) OVER (PARTITION BY n, k) > 1 AS starts FROM windows),
+gone AS (
+  SELECT r, p, word, coalesce(max(CASE WHEN starts THEN p END) OVER (PARTITION BY r ORDER BY p) > p - 35, false) AS gone
+  FROM words JOIN marked USING (r, p)),
+runs AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER BY p), false) AS opens FROM gone),
+done AS (
+  SELECT r, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans,
+    string_agg(word, ' ' ORDER BY p) FILTER (NOT gone) AS kept
+  FROM runs GROUP BY r)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256, coalesce(n_spans, 0) AS n_spans
+FROM d LEFT JOIN done USING (r)""")
 def op2_spans(spark, folder):
     return without_repeats(table(spark, folder, "documents"))
