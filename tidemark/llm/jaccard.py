@@ -200,6 +200,24 @@ def without_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     return first.unionByName(docs.where("doc_id IS NULL"))
 
 
-@query()
+@query(r"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+words AS (SELECT r, len(w) AS total, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+grams AS (
+  SELECT r, p, total, count(*) OVER here AS n, string_agg(word, ' ') OVER here AS k FROM words
+  WINDOW here AS (PARTITION BY r ORDER BY p ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING)),
+sets AS MATERIALIZED (SELECT DISTINCT r, k FROM grams WHERE n = 3 OR (p = 1 AND total < 3)),
+sizes AS MATERIALIZED (SELECT r, count(*) AS m FROM sets GROUP BY r),
+common AS (SELECT a.r AS a, b.r AS b, count(*) AS held FROM sets a JOIN sets b USING (k) GROUP BY a.r, b.r),
+links AS MATERIALIZED (
+  SELECT a, b FROM common JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b
+  WHERE 100 * held >= 90 * (x.m + y.m - held)),
+reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT a AS r, min(d.doc_id) AS least FROM reach JOIN d ON d.r = reach.b GROUP BY a)
+SELECT doc_id, coalesce(m, 0) AS n_shingles, coalesce(least, doc_id) AS component_id
+FROM d LEFT JOIN sizes USING (r) LEFT JOIN least USING (r)""")
 def op3_jaccard(spark, folder):
     return joined(table(spark, folder, "documents"))
