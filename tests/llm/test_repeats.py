@@ -8,6 +8,8 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql.group import GroupedData
 
 from tests.llm.conftest import AWKWARD, DOCS, row
 from tidemark.llm import jaccard, lines, links, shared, spans, suffixes
@@ -313,3 +315,28 @@ def test_large_groups_lose_no_link(spark, monkeypatch, rounds, members):
             break
     assert len(set(top.values())) > 1
     assert {n: got.get(n, n) for n in sets} == top
+
+
+@pytest.fixture
+def any_order(monkeypatch):
+    """The rows of a batch in another order in each pass, as a cluster's shuffle gives them."""
+    by_batch = GroupedData.cogroup
+
+    def shuffled(left, right):
+        spot = F.xxhash64("doc_id", "text", F.lit(random.random()))
+        return by_batch(left._df.sortWithinPartitions("batch", spot).groupBy("batch"), right)
+
+    monkeypatch.setattr(GroupedData, "cogroup", shuffled)
+
+
+@pytest.mark.parametrize(
+    "removed, by_hand, columns",
+    [
+        (spans.without_repeats, spans_by_hand, ["n_words", "n_removed", "kept_sha256"]),
+    ],
+)
+def test_rows_come_in_any_order(spark, any_order, removed, by_hand, columns):
+    rows = [*mixture(3), (1, None), (1, ""), (None, "x " * 60), (40, "x " * 60), (40, "y " * 60)]
+    docs = spark.createDataFrame([row(d, t) for d, t in rows], DOCS)
+    window = {spans.without_repeats: spans.WINDOW, suffixes.without_earlier: suffixes.WINDOW}[removed]
+    assert rows_of(removed(docs), "doc_id", *columns) == by_hand(rows, window)

@@ -41,6 +41,12 @@ def dealt(docs: DataFrame, *columns: str) -> tuple[DataFrame, int]:
     return rows.repartition("batch"), max(1, -(-total // BUCKET_BYTES))
 
 
+def in_order(rows: pa.Table) -> pa.Table:
+    """The rows of a batch by doc_id and text. A shuffle hands them over in any order, and
+    positions that one pass counts are read in another; rows alike in both are exchangeable."""
+    return rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * _MIX
     x = (x ^ (x >> np.uint64(29))) * _STEP_2

@@ -130,6 +130,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
         )
 
     def about_edges(key: tuple[pa.Scalar, ...], rows: pa.Table, told: pa.Table) -> pa.Table:
+        rows = shared.in_order(rows)
         batch, got = key[0].as_py(), told.to_pylist()
         p = Pieces(rows.column("text").to_pylist(), window, gram)
         anchors, path, a_place = p.paths()
@@ -158,6 +159,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
         return shared.table_of(out, shared.REQUEST_ARROW)
 
     def apply(key: tuple[pa.Scalar, ...], rows: pa.Table, told: pa.Table) -> pa.Table:
+        rows = shared.in_order(rows)
         starts, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for r in told.to_pylist():
             note = np.frombuffer(r["note"], NOTE)
