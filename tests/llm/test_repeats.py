@@ -333,6 +333,7 @@ def any_order(monkeypatch):
     "removed, by_hand, columns",
     [
         (spans.without_repeats, spans_by_hand, ["n_words", "n_removed", "kept_sha256"]),
+        (suffixes.without_earlier, suffixes_by_hand, ["n_bytes", "n_removed", "n_spans", "kept_sha256"]),
     ],
 )
 def test_rows_come_in_any_order(spark, any_order, removed, by_hand, columns):
