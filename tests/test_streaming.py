@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
+from tidemark import catalog
 from tidemark.functions.time import window_start
 from tidemark.operators import lateness, parsing, reconcile, routing, timers, topn, watermarks, windows
 from tidemark.session import fresh_path
@@ -96,6 +97,30 @@ def test_event_timers_fire_after_watermark(spark, ordered_stream):
     assert rows_of(fired, "at_ms") == [(6000,)]
 
 
+def test_event_timers_in_built_in_state(spark, ordered_stream):
+    rows = [
+        (1, "a", "u", 1000), (2, "a", "u", 1000), (3, None, "u", 1001), (4, "a", "u", None), (5, "a", "u", None),
+        (6, "b", "u", 1000), (7, "a", "u", 6001), (8, "a", "u", 6000), (9, "a", "u", 6001),
+    ]
+    out = processors.event_timers(ordered_stream(one_per_batch(rows), EVENT), ["user"], 5_000)
+    done = sinks.run_to_table(out, "timers")
+    assert rows_of(done.where("kind = 'input'"), "user", "at_ms") == sorted(((r[1], r[3]) for r in rows), key=repr)
+    # The timers at 6001 and later are ahead of the watermark when the input ends.
+    assert rows_of(done.where("kind = 'fired'"), "user", "at_ms") == [("a", 6000), ("a", None), ("b", 6000)]
+
+
+def test_event_timers_query_with_nulls(spark, tmp_path):
+    rows = [(i, f"2024-01-01 {i // 60:02d}:{i % 60:02d}:00" if i % 9 else None, i % 4 or None) for i in range(600)]
+    events = spark.createDataFrame(rows, "event_id long, at string, user_id long")
+    events = events.withColumn("ts", F.to_timestamp_ntz("at")).withColumn("event_type", F.lit("view"))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    got = catalog.QUERIES["stream_event_timers"](spark, str(tmp_path))
+    at = [None if t is None else 1_704_067_200_000 + i * 60_000 for i, t, _ in rows]
+    want = [(u, "input", t) for (_, _, u), t in zip(rows, at)]
+    want += {(u, "fired", None if t is None else t + 5 * catalog.HOUR) for (_, _, u), t in zip(rows, at)}
+    assert rows_of(got) == sorted(want, key=repr)
+
+
 def test_processing_timers(spark, ordered_stream, tmp_path):
     out = processors.process(
         ordered_stream(one_per_batch(CLICKS[:3]), EVENT),

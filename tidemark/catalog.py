@@ -798,11 +798,9 @@ UNION ALL SELECT DISTINCT "user", 'fired', ts_ms + {5 * HOUR} FROM clicks""")
 def stream_event_timers(spark, folder):
     rows = clicks(spark, folder)
     ends = ended(rows, 10 * DAY, url=F.lit("end"))
-    stream = with_event_time(staged_stream(rows, ["ts_ms"], 3, ends=ends), "2 hours")
-    fired = processors.process(
-        stream, ["user"], processors.Timers(["user"], 5 * HOUR), "user bigint, kind string, at_ms bigint", "EventTime"
-    )
-    return sinks.run_to_table(fired, "timers").where(F.col("user") != END_USER)
+    stream = staged_stream(rows, ["ts_ms"], 3, ends=ends)
+    fired = processors.event_timers(stream, ["user"], 5 * HOUR, 2 * HOUR)
+    return sinks.run_to_table(fired, "timers").where(~F.col("user").eqNullSafe(END_USER))
 
 
 @query(f"WITH RECURSIVE {REPEATED}")

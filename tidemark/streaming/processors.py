@@ -13,7 +13,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -106,6 +106,30 @@ class Timers(StatefulProcessor):
         pass
 
 
+def event_timers(stream: DataFrame, keys: Sequence[str], after_ms: int, delay_ms: int = 0) -> DataFrame:
+    """What :class:`Timers` gives on event time, for very many rows: built-in state only.
+
+    ``stream`` has ``ts_ms`` and no watermark yet; it is set here, ``delay_ms`` behind. A
+    timer is a group of an aggregate, which leaves it when the watermark reaches the timer.
+    Every row is an input, late ones too; a timer that the watermark has passed is not set
+    again. Rows without a time share one timer without a time per key, fired at once.
+    """
+    stream.sparkSession.conf.set(STATE_STORE, ROCKSDB_PROVIDER)
+
+    def rows(of: DataFrame, kind: str, at: Column) -> DataFrame:
+        return of.select(*keys, F.lit(kind).alias("kind"), at.alias("at_ms"))
+
+    seen = rows(stream, "input", F.col("ts_ms"))
+    timer = F.timestamp_millis(F.col("ts_ms") + F.lit(after_ms + 1)).alias("__timer")
+    armed = stream.where("ts_ms IS NOT NULL").select(*keys, timer)
+    # So far behind the timers is ``delay_ms`` behind the rows.
+    armed = armed.withWatermark("__timer", f"{after_ms + 1 + delay_ms} milliseconds")
+    passed = armed.groupBy(*keys, "__timer").agg(F.count("*").alias("__rows"))
+    fired = rows(passed, "fired", F.unix_millis("__timer") - 1)
+    timeless = stream.where("ts_ms IS NULL").select(*keys).dropDuplicates(list(keys))
+    return seen.unionByName(fired).unionByName(rows(timeless, "fired", F.lit(None).cast("bigint")))
+
+
 class PeriodicCounter(StatefulProcessor):
     """Counts a key's rows and reports ``key, timer_ms, cnt`` when its timer fires.
 
