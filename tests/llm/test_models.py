@@ -107,6 +107,17 @@ def test_words_are_tokenised_as_in_texts():
         assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
 
 
+def test_words_are_numbered_as_they_come(monkeypatch):
+    words = packing.WordIds(packing.tokenizer_path())
+    first = words.texts([b"one two, one three", b"", b"two, four"])
+    assert [*words.number.items()] == [(b"one", 0), (b"two,", 1), (b"three", 2), (b"four", 3)]
+    assert words.texts([b"five one"])[0].tolist()[-2:] == first[0][[0, -1]].tolist()
+    assert words.number[b"five"] == 4
+    monkeypatch.setattr(packing, "MEMO_WORDS", 4)
+    again = words.texts([b"one two, one three"])[0]
+    assert again.tolist() == first[0].tolist() and len(words.number) == 3
+
+
 def test_plan_fills_windows_exactly():
     held = np.zeros(65, np.int64)
     held[[16, 48, 20, 24, 32]] = [10, 9, 6, 3, 4]

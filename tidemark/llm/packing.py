@@ -22,6 +22,7 @@ import sys
 import types
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,14 @@ SEPARATOR = "\x01"
 PIECE = "key long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+class Numbers(dict):
+    """Numbers keys in the order in which they are first looked up."""
+
+    def __missing__(self, key: bytes) -> int:
+        self[key] = n = len(self)
+        return n
+
+
 class WordIds:
     """Token ids of texts, word by word; the tokenizer never merges across blanks.
 
@@ -66,8 +75,8 @@ class WordIds:
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.parts = np.zeros((1 << 18, 2), np.int64)
+        self.number = Numbers()
+        self.parts = np.zeros((1 << 18, 2), np.int32)
         self.part_number: dict[bytes, int] = {b"": 0}
         self.flat = np.zeros(0, np.uint16)
         self.ends = np.zeros(2, np.int64)
@@ -98,7 +107,8 @@ class WordIds:
         order = [t.encode("utf-8", "surrogatepass") for t in [*joint, *alone]]
         return order, np.concatenate(ids), np.concatenate(sizes)
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: list[bytes], at: int) -> None:
+        """The ids of ``words``, whose numbers begin with ``at``."""
         cores = [word.rstrip(TAIL) for word in words]
         tails = [word[len(core) :] for word, core in zip(words, cores)]
         for i in [i for i, t in enumerate(tails) if t] + [i for i, c in enumerate(cores) if not c]:
@@ -107,29 +117,26 @@ class WordIds:
         cores = [core.lower() for core in cores]
         known = self.part_number
         new, ids, sizes = self._ids(list({*cores, *tails} - known.keys()))
-        at = len(known)
-        known.update(zip(new, range(at, at + len(new))))
+        known.update(zip(new, range(len(known), len(known) + len(new))))
         self.flat = np.concatenate([self.flat, ids.astype(np.uint16)])
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
-        at = len(self.number)
         while at + len(words) > len(self.parts):
             self.parts = np.concatenate([self.parts, np.zeros_like(self.parts)])
         look = known.__getitem__
-        self.parts[at : at + len(words), 0] = np.fromiter(map(look, cores), np.int64, len(words))
-        self.parts[at : at + len(words), 1] = np.fromiter(map(look, tails), np.int64, len(words))
-        self.number.update(zip(words, range(at, at + len(words))))
+        self.parts[at : at + len(words), 0] = np.fromiter(map(look, cores), np.int32, len(words))
+        self.parts[at : at + len(words), 1] = np.fromiter(map(look, tails), np.int32, len(words))
 
     def texts(self, texts: list[bytes]) -> list[np.ndarray]:
-        split = [t.split() for t in texts]
         if len(self.number) > MEMO_WORDS:
             self.clear()
-        new = set().union(*split) - self.number.keys()
+        before, look = len(self.number), self.number.__getitem__
+        split = (t.split() for t in texts)
+        numbers = [np.fromiter(map(look, words), np.int32, len(words)) for words in split]
+        new = len(self.number) - before
         if new:
-            self._learn(list(new))
+            self._learn([*islice(reversed(self.number), new)][::-1], before)
         out = []
-        look = self.number.__getitem__
-        for words in split:
-            at = np.fromiter(map(look, words), np.int64, len(words))
+        for at in numbers:
             part = self.parts[at].ravel()
             begin, size = self.ends[part], self.ends[part + 1] - self.ends[part]
             out.append(np.append(self.flat[shared.ranges(begin, size)], END).astype("<u4"))
@@ -151,11 +158,10 @@ def tokenised(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
         words = worker_words(path)
         key = TaskContext.get().partitionId() << 40
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i in range(0, len(ids), TEXTS_AT_ONCE):
-                rows = []
-                some = [t or b"" for t in texts[i : i + TEXTS_AT_ONCE]]
-                for doc, tokens in zip(ids[i : i + TEXTS_AT_ONCE], words.texts(some)):
+            for i in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                rows, few = [], batch.slice(i, TEXTS_AT_ONCE)
+                some = [t or b"" for t in few.column(1).to_pylist()]
+                for doc, tokens in zip(few.column(0).to_pylist(), words.texts(some)):
                     raw, n = memoryview(tokens.tobytes()), len(tokens)
                     for start in range(0, n, window):
                         size = min(window, n - start)
