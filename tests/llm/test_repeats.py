@@ -341,3 +341,88 @@ def test_rows_come_in_any_order(spark, any_order, removed, by_hand, columns):
     docs = spark.createDataFrame([row(d, t) for d, t in rows], DOCS)
     window = {spans.without_repeats: spans.WINDOW, suffixes.without_earlier: suffixes.WINDOW}[removed]
     assert rows_of(removed(docs), "doc_id", *columns) == by_hand(rows, window)
+
+
+def alike(seed, n):
+    """Sets of 40 tokens, linked or just under a similarity of 0.8; some share keys."""
+    draw = np.random.default_rng(seed)
+    base = draw.permutation(200)[:40]
+    sets, keys = {}, []
+    for i in range(n):
+        own = base.copy()
+        spots = draw.choice(40, int(draw.integers(2, 7)), replace=False)
+        own[spots] = 200 + draw.integers(0, 12, len(spots))
+        node = i.to_bytes(2, "big")
+        sets[node] = np.unique(own).astype(np.uint64)
+        keys += [(k, node) for k in (7, 8 + i % 3, 100 + i // 2)]
+    return sets, keys
+
+
+def linked_by_hand(sets):
+    nodes = list(sets)
+    top = {x: x for x in nodes}
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for i, a in enumerate(nodes):
+        for b in nodes[:i]:
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = find(a), find(b)
+                top[max(x, y)] = min(x, y)
+    return {x: find(x) for x in nodes}
+
+
+def linked(spark, sets, keys):
+    bodies = spark.createDataFrame([(bytearray(n), bytearray(x.tobytes())) for n, x in sets.items()], "node binary, body binary")
+    members = spark.createDataFrame([(k, bytearray(n)) for k, n in keys], "key long, node binary")
+    members = members.join(bodies.selectExpr("node", "octet_length(body) AS size"), "node")
+    got = links.link(members, bodies, lambda b: np.frombuffer(b, np.uint64), 80)
+    got = {bytes(r.node): bytes(r.root) for r in got.collect()}
+    return {n: got.get(n, n) for n in sets}
+
+
+def test_a_cluster_with_many_keys_takes_few_tables(spark, monkeypatch):
+    """Sets that share many keys and are alike, but not all linked, are settled in one turn."""
+    written, cut = [], links.cut_lineage
+    monkeypatch.setattr(links, "PART_MEMBERS", 16)
+    monkeypatch.setattr(links, "cut_lineage", lambda df: written.append(1) or cut(df))
+    sets, keys = alike(6, 60)
+    assert linked(spark, sets, keys) == linked_by_hand(sets)
+    assert len(written) <= 12
+
+
+@pytest.mark.parametrize("rounds", [1, 8])
+def test_homes_beyond_one_task_lose_no_link(spark, monkeypatch, rounds):
+    monkeypatch.setattr(links, "ROUNDS", rounds)
+    monkeypatch.setattr(links, "PART_MEMBERS", 8)
+    monkeypatch.setattr(links, "FAR", 2)
+    monkeypatch.setattr(links, "TASK_BYTES", 2000)
+    sets, keys = alike(7, 70)
+    got = linked(spark, sets, keys)
+    assert got == linked_by_hand(sets) and len(set(got.values())) > 1
+
+
+def test_one_home_for_the_keys_of_a_cluster(spark):
+    """A member moves once for all keys that it shares with the same least member."""
+    rows = [(k, bytearray(i.to_bytes(2, "big")), 1, i) for k in range(30) for i in range(50)]
+    members = spark.createDataFrame(rows, "key long, node binary, size int, mark long")
+    assert links._homes(members).count() == 50
+
+
+@pytest.mark.parametrize("most", [64, 1 << 16])
+def test_band_keys_are_minima(monkeypatch, most):
+    monkeypatch.setattr(lines, "PART_BYTES", most)
+    draw = random.Random(8)
+    bodies = [bytes(draw.choices(b"abcd e", k=n)) for n in (0, 7, 8, 9, 300, 40, 41, 8, 2000, 12)]
+    got = lines.band_keys(bodies)
+    for body, row_ in zip(bodies, got):
+        grams = (shared.Rolling(lines._SYMBOLS[np.frombuffer(body, np.uint8)]).every(8) >> np.uint64(32)).astype(np.uint32)
+        for band in range(lines.BANDS):
+            key = np.full(1, band + 1, np.uint64)
+            for k in range(band * lines.ROWS, (band + 1) * lines.ROWS) if len(grams) else ():
+                key = shared.mixed(key * np.uint64(1_000_003) + ((grams ^ lines._FLIP[k]) * lines._SCALE[k]).min())
+            assert row_[band] == (key[0] if len(grams) else 0)

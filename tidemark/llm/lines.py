@@ -3,7 +3,7 @@
 A line is compared in lower case with runs of blanks as one. Its set is its distinct
 8-byte shingles; lines match from a Jaccard similarity of 0.8 on. Signatures of 32
 minima in 8 bands of 4 bring candidates together: a pair at 0.8 shares a band with
-chance 0.985, one at 0.9 with 0.9997. Candidates of like set size are compared exactly, and matching
+chance 0.985, one at 0.9 with 0.9997. Candidates are compared exactly, and matching
 lines joined to components (``links``). The first line of each component, by doc_id and
 place, stays; the others go.
 
@@ -32,7 +32,7 @@ from tidemark.session import cut_lineage
 GRAM = 8
 BANDS, ROWS = 8, 4
 PERCENT = 80
-PART_BYTES = 256 << 10
+PART_BYTES = 64 << 10
 #: Kind of the row in which a batch keeps the band values of its lines for the next pass.
 KEPT = -1
 _SYMBOLS = shared.mixed(np.arange(1, 257, dtype=np.uint64))
@@ -52,32 +52,39 @@ def plain(line: bytes) -> bytes:
 
 
 def shingles(body: bytes) -> np.ndarray:
-    return np.unique(Rolling(_SYMBOLS[np.frombuffer(body, np.uint8)]).every(GRAM))
+    return shared.distinct(Rolling(_SYMBOLS[np.frombuffer(body, np.uint8)]).every(GRAM))
 
 
 def band_keys(bodies: list[bytes]) -> np.ndarray:
-    """A row of band values for each body; 0 for those shorter than a shingle."""
+    """A row of band values for each body; 0 for those shorter than a shingle.
+
+    Bodies of about one size are taken together, a column each, so minima run along rows.
+    """
     sizes = np.array([len(b) for b in bodies], np.int64)
     out = np.zeros((len(bodies), BANDS), np.uint64)
-    ends = np.cumsum(sizes)
+    order = np.argsort(sizes, kind="stable")
+    order = order[np.searchsorted(sizes[order], GRAM) :]
+    size = sizes[order]
+    ends = np.cumsum(size)
     i = 0
-    while i < len(bodies):
-        j = max(i + 1, int(np.searchsorted(ends, ends[i] + PART_BYTES)))
-        joined = np.frombuffer(b"".join(bodies[i:j]), np.uint8)
-        size = sizes[i:j]
-        begin = np.cumsum(size) - size
-        long = np.flatnonzero(size >= GRAM)
-        if len(long):
-            grams = Rolling(_SYMBOLS[joined]).every(GRAM)
-            count = size[long] - GRAM + 1
-            low = (grams[shared.ranges(begin[long], count)] >> np.uint64(32)).astype(np.uint32)
-            first = np.cumsum(count) - count
-            for band in range(BANDS):
-                key = np.full(len(long), band + 1, np.uint64)
-                for k in range(band * ROWS, (band + 1) * ROWS):
-                    least = np.minimum.reduceat((low ^ _FLIP[k]) * _SCALE[k], first)
-                    key = shared.mixed(key * np.uint64(1_000_003) + least)
-                out[i + long, band] = key
+    while i < len(order):
+        most = min(int(np.searchsorted(ends, ends[i] + PART_BYTES)), int(np.searchsorted(size, size[i] * 5 // 4 + GRAM)))
+        j = max(i + 1, most)
+        mine = order[i:j]
+        joined = np.frombuffer(b"".join([bodies[k] for k in mine.tolist()]), np.uint8)
+        grams = (Rolling(_SYMBOLS[joined]).every(GRAM) >> np.uint64(32)).astype(np.uint32)
+        count = size[i:j] - GRAM + 1
+        begin = np.cumsum(size[i:j]) - size[i:j]
+        # Shorter bodies repeat their last shingle, which changes no minimum.
+        low = grams[begin + np.minimum(np.arange(count[-1])[:, None], count - 1)]
+        turned = np.empty_like(low)
+        for band in range(BANDS):
+            key = np.full(len(mine), band + 1, np.uint64)
+            for k in range(band * ROWS, (band + 1) * ROWS):
+                np.bitwise_xor(low, _FLIP[k], out=turned)
+                np.multiply(turned, _SCALE[k], out=turned)
+                key = shared.mixed(key * np.uint64(1_000_003) + turned.min(axis=0))
+            out[mine, band] = key
         i = j
     return out
 
@@ -87,7 +94,6 @@ class Lines:
 
     def __init__(self, texts: list[bytes | None], owners: list[int]):
         self.places: list[list[tuple[int, int]]] = []
-        self.bodies: list[bytes] = []
         self.first: list[tuple[int, int]] = []
         number: dict[bytes, int] = {}
         counts: list[int] = []
@@ -99,20 +105,22 @@ class Lines:
                     continue
                 at = number.setdefault(body, len(number))
                 if at == len(counts):
-                    counts.append(0)
-                    self.bodies.append(body)
+                    counts.append(1)
                     self.first.append((owner, place))
-                counts[at] += 1
-                self.first[at] = min(self.first[at], (owner, place))
+                else:
+                    counts[at] += 1
+                    self.first[at] = min(self.first[at], (owner, place))
                 row.append((place, at))
             self.places.append(row)
+        self.bodies = list(number)
         self.counts = np.array(counts, np.int64)
-        self.nodes = [xxhash.xxh3_128_digest(b) for b in self.bodies]
-        self.names = np.array([int.from_bytes(n[:8], "little") for n in self.nodes], np.uint64)
+        self.nodes = list(map(xxhash.xxh3_128_digest, self.bodies))
+        self.halves = np.frombuffer(b"".join(self.nodes), np.uint64).reshape(-1, 2)
+        self.names = self.halves[:, 0].copy()
 
-    def by_node(self) -> list[int]:
+    def by_node(self) -> np.ndarray:
         """The numbers of the lines by digest: one order in each pass, whatever the rows' order."""
-        return sorted(range(len(self.nodes)), key=self.nodes.__getitem__)
+        return np.lexsort(self.halves.T)
 
 
 def _rows(docs: DataFrame):
@@ -129,7 +137,7 @@ def cleaned(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     def about_lines(batch: int, rows: pa.Table) -> list[tuple]:
         lines = Lines(rows.column("text").to_pylist(), rows.column("owner").to_pylist())
         keys = band_keys(lines.bodies)
-        distinct = np.unique(np.concatenate([keys[keys != 0], lines.names]))
+        distinct = shared.distinct(np.concatenate([keys[keys != 0], lines.names]))
         kept = keys[lines.by_node()].tobytes()
         return [*shared.request_rows(batch, HELD, buckets, distinct), (batch, -1, KEPT, kept, None, None, None)]
 
@@ -148,10 +156,7 @@ def cleaned(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         some = shared_band.any(axis=1)
         out = []
         for i in np.flatnonzero(again | some).tolist():
-            mine = None
-            if some[i]:
-                size = len(shingles(lines.bodies[i]))
-                mine = links.sized(keys[i][shared_band[i]], size, percent).astype(np.int64)
+            mine = keys[i][shared_band[i]].astype(np.int64) if some[i] else None
             owner, place = lines.first[i]
             out.append((key[0].as_py(), lines.nodes[i], owner, place, mine, lines.bodies[i] if some[i] else None))
         return shared.table_of(out, FOUND_ARROW)
@@ -168,9 +173,8 @@ def cleaned(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     members = found.where(F.col("keys").isNotNull()).select(
         F.explode("keys").alias("key"), "node", F.octet_length("body").alias("size")
     )
-    members = members.groupBy("key", "node").agg(F.min("size").alias("size"))
     bodies = found.where(F.col("body").isNotNull()).groupBy("node").agg(F.first("body").alias("body"))
-    roots = links.link(members, cut_lineage(bodies), shingles, percent)
+    roots = links.link(members, bodies, shingles, percent)
     nodes = found.groupBy("node").agg(F.min(F.struct("owner", "place")).alias("first"))
     keepers = links.rooted(nodes, roots, "first")
     back = found.select("batch", "node").join(keepers, "node").select(

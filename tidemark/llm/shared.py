@@ -10,6 +10,7 @@ grow in number with the data, not in size.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,8 @@ ANSWER = "batch int, bucket int, kind int, bits binary, note binary"
 #: Kinds of question: is the key held elsewhere; with an equal check; by a smaller owner;
 #: with differing checks (a check of 0 differs from all).
 HELD, CHECKED, EARLIER, BRANCH = 0, 1, 2, 3
+#: Powers up to so many symbols are kept by a worker.
+FEW = (1 << 18) + 1
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD1342543DE82EF95)
 _STEP_2 = np.uint64(0xAF251AF3B0F025B5)
@@ -48,9 +51,18 @@ def in_order(rows: pa.Table) -> pa.Table:
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * _MIX
-    x = (x ^ (x >> np.uint64(29))) * _STEP_2
-    return x ^ (x >> np.uint64(32))
+    x = x ^ (x >> np.uint64(32))
+    x *= _MIX
+    x ^= x >> np.uint64(29)
+    x *= _STEP_2
+    x ^= x >> np.uint64(32)
+    return x
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The distinct values in order."""
+    x = np.sort(x)
+    return x[np.concatenate([np.ones(min(1, len(x)), bool), x[1:] != x[:-1]])]
 
 
 def _inverse(odd: np.uint64) -> np.uint64:
@@ -61,20 +73,33 @@ def _inverse(odd: np.uint64) -> np.uint64:
     return np.uint64(y)
 
 
+_INVERSE, _INVERSE_2 = _inverse(_STEP), _inverse(_STEP_2)
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base)
+    out[0] = 1
+    return np.multiply.accumulate(out, out=out)
+
+
+@cache
+def _few_powers(base: np.uint64) -> np.ndarray:
+    return _powers(base, FEW)
+
+
+def _first_powers(base: np.uint64, n: int) -> np.ndarray:
+    return _few_powers(base)[:n] if n <= FEW else _powers(base, n)
+
+
 class Rolling:
     """Hashes of any runs of ``symbols`` (unsigned 64-bit) in constant time each."""
 
     def __init__(self, symbols: np.ndarray, second: bool = False):
         step = _STEP_2 if second else _STEP
         n = len(symbols) + 1
-        powers = np.full(n, step)
-        powers[0] = 1
-        np.multiply.accumulate(powers, out=powers)
         self.sums = np.zeros(n, np.uint64)
-        np.cumsum(symbols * powers[:-1], out=self.sums[1:])
-        self.back = np.full(n, _inverse(step))
-        self.back[0] = 1
-        np.multiply.accumulate(self.back, out=self.back)
+        np.cumsum(symbols * _first_powers(step, n)[:-1], out=self.sums[1:])
+        self.back = _first_powers(_INVERSE_2 if second else _INVERSE, n)
 
     def every(self, length: int) -> np.ndarray:
         """The hash of each run of ``length`` symbols."""
