@@ -60,7 +60,7 @@ def tokens(text: bytes | None, n: int) -> np.ndarray:
     if len(words) < n:
         end = np.array([len(words)])
         return Rolling(symbols).runs(0 * end, end)
-    return np.unique(Rolling(symbols).every(n))
+    return shared.distinct(Rolling(symbols).every(n))
 
 
 def _slot(t: np.ndarray) -> np.ndarray:
@@ -178,9 +178,8 @@ def joined(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFra
     members = found.where(F.col("keys").isNotNull()).select(
         F.explode("keys").alias("key"), "node", F.octet_length("body").alias("size")
     )
-    members = members.groupBy("key", "node").agg(F.min("size").alias("size"))
     bodies = found.where(F.col("body").isNotNull()).groupBy("node").agg(F.first("body").alias("body"))
-    roots = links.link(members, cut_lineage(bodies), partial(tokens, n=n), percent)
+    roots = links.link(members, bodies, partial(tokens, n=n), percent)
     nodes = found.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     least = links.rooted(nodes, roots, "doc_id")
     rows = found.select("doc_id", "n_shingles", "node").join(least, "node", "left")
