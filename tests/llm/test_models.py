@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -118,6 +119,38 @@ def test_words_are_numbered_as_they_come(monkeypatch):
     assert again.tolist() == first[0].tolist() and len(words.number) == 3
 
 
+def test_words_that_come_again_are_not_forgotten(monkeypatch):
+    """A full memory drops rare words only, and ids are right before and after."""
+    from tokenizers import Tokenizer
+
+    path = packing.tokenizer_path()
+    tokenizer, words = Tokenizer.from_file(path), packing.WordIds(path)
+    monkeypatch.setattr(packing, "MEMO_WORDS", 200)
+    often, learned, learn = [f"Often{i}," for i in range(40)], [], words._learn
+    monkeypatch.setattr(words, "_learn", lambda new, at: learned.extend(new) or learn(new, at))
+    for turn in range(30):
+        text = " ".join([*often, *(f"rare{turn}x{i}!" for i in range(50)), "<>", *often])
+        assert words.texts([text.encode()])[0].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+        assert len(words.number) <= 200 + 50
+    assert learned.count(b"Often3,") == 1 and learned.count(b"<>") == 1
+    # What comes no more goes in the end, and the frequent ones are too many to stay.
+    for turn in range(60):
+        words.texts([" ".join(f"w{turn}x{i} w{turn}x{i}" for i in range(150)).encode()])
+        assert len(words.number) <= 200 + 150
+    assert b"Often3," not in words.number
+
+
+def test_a_worker_remembers_some_megabytes():
+    words = packing.WordIds(packing.tokenizer_path())
+    for i in range(0, 640_000, 40_000):
+        words.texts([b" ".join(b"%dword%d," % (j % 7, j) for j in range(i, i + 40_000))])
+    tables = [x for x in vars(words).values() if isinstance(x, dict)]
+    size = sum(sys.getsizeof(k) + sys.getsizeof(n) for t in tables for k, n in t.items())
+    size += sum(map(sys.getsizeof, tables))
+    size += sum(x.nbytes for x in vars(words).values() if isinstance(x, np.ndarray))
+    assert size < 100e6
+
+
 def test_plan_fills_windows_exactly():
     held = np.zeros(65, np.int64)
     held[[16, 48, 20, 24, 32]] = [10, 9, 6, 3, 4]

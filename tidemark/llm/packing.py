@@ -39,8 +39,9 @@ WINDOW = 2048
 END = 1
 #: Remainders in one greedy block, and items whose rank one task computes.
 BLOCK_ITEMS = 20_000
-#: Distinct words that a Python worker remembers the ids of.
-MEMO_WORDS = 1_000_000
+#: Distinct words that a Python worker remembers the ids of, some 130 bytes each. An executor
+#: may hold more workers than cores, and each keeps its own.
+MEMO_WORDS = 640_000
 RUN_WORDS = 512
 TEXTS_AT_ONCE = 1024
 #: Marks that end words; without the apostrophe and what special tokens end in.
@@ -63,7 +64,11 @@ class WordIds:
 
     A word is its core and a tail of marks: after an ASCII letter or digit, a tail of
     these marks is tokenised apart, and ASCII letters are lowered first in any case. So
-    cores are few. Ids of cores and tails lie in one flat array, found by number.
+    cores are few. Ids of cores and tails lie in one flat array, found by number. A core is
+    looked up as a word, so no second table of them is held.
+
+    Beyond ``MEMO_WORDS`` the words that came once are forgotten, and of the others the
+    rarer half if they are too many.
     """
 
     def __init__(self, path: str):
@@ -76,11 +81,38 @@ class WordIds:
 
     def clear(self) -> None:
         self.number = Numbers()
+        self.seen = np.zeros(0, np.int64)
         self.parts = np.zeros((1 << 18, 2), np.int32)
-        self.part_number: dict[bytes, int] = {b"": 0}
+        self.tail_number: dict[bytes, int] = {b"": 0}
         self.flat = np.zeros(0, np.uint16)
         self.ends = np.zeros(2, np.int64)
 
+    def forget(self) -> None:
+        """Keep the words that came again, at most half of ``MEMO_WORDS``."""
+        often = np.flatnonzero(self.seen > 1)
+        most = MEMO_WORDS // 2
+        if len(often) > most:
+            often = np.sort(often[np.argsort(-self.seen[often], kind="stable")[:most]])
+        words, tails, flat, ends = list(self.number), self.tail_number, self.flat, self.ends
+        # Part 0, the empty one, stays first.
+        stay, part = np.unique(np.append(self.parts[often].ravel(), 0), return_inverse=True)
+        # Words that do not come again go in the end.
+        seen = self.seen[often] // 2
+        self.clear()
+        self.number.update((words[i], n) for n, i in enumerate(often.tolist()))
+        self.seen = seen
+        self._hold(len(often))
+        self.parts[: len(often)] = part[:-1].reshape(-1, 2)
+        new = dict(zip(stay.tolist(), range(len(stay))))
+        self.tail_number = {t: new[i] for t, i in tails.items() if i in new}
+        size = ends[stay + 1] - ends[stay]
+        self.flat = flat[shared.ranges(ends[stay], size)]
+        self.ends = np.concatenate([[0], np.cumsum(size)])
+
+    def _hold(self, words: int) -> None:
+        while words > len(self.parts):
+            self.parts = np.concatenate([self.parts, np.zeros_like(self.parts)])
+
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -115,26 +147,34 @@ class WordIds:
             if b"'" in words[i] or not cores[i][-1:].isalnum():
                 cores[i], tails[i] = words[i], b""
         cores = [core.lower() for core in cores]
-        known = self.part_number
+        # A core is known by its tail's number or by that of the word that it alone is.
+        known = {**self.tail_number}
+        for core in {*cores} - known.keys():
+            n = self.number.get(core, at)
+            if n < at and not self.parts[n, 1]:
+                known[core] = int(self.parts[n, 0])
         new, ids, sizes = self._ids(list({*cores, *tails} - known.keys()))
-        known.update(zip(new, range(len(known), len(known) + len(new))))
+        parts = len(self.ends) - 1
+        known.update(zip(new, range(parts, parts + len(new))))
+        self.tail_number.update((t, known[t]) for t in {*tails} - self.tail_number.keys())
         self.flat = np.concatenate([self.flat, ids.astype(np.uint16)])
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
-        while at + len(words) > len(self.parts):
-            self.parts = np.concatenate([self.parts, np.zeros_like(self.parts)])
+        self._hold(at + len(words))
         look = known.__getitem__
         self.parts[at : at + len(words), 0] = np.fromiter(map(look, cores), np.int32, len(words))
         self.parts[at : at + len(words), 1] = np.fromiter(map(look, tails), np.int32, len(words))
 
     def texts(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.number) > MEMO_WORDS:
-            self.clear()
+            self.forget()
         before, look = len(self.number), self.number.__getitem__
         split = (t.split() for t in texts)
         numbers = [np.fromiter(map(look, words), np.int32, len(words)) for words in split]
         new = len(self.number) - before
         if new:
             self._learn([*islice(reversed(self.number), new)][::-1], before)
+        self.seen = np.append(self.seen, np.zeros(new, np.int64))
+        self.seen += np.bincount(np.concatenate([np.zeros(0, np.int32), *numbers]), minlength=len(self.seen))
         out = []
         for at in numbers:
             part = self.parts[at].ravel()
