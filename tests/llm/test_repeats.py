@@ -413,6 +413,25 @@ def test_one_home_for_the_keys_of_a_cluster(spark):
     assert links._homes(members).count() == 50
 
 
+def test_lines_are_compared_as_one_by_one():
+    draw = random.Random(9)
+    texts = [bytes(draw.choices(b"aB\xc3 \n\t\r\x0b\x0c\x1c\x85", [9, 9, 2, 3, 3, *[k] * 6], k=n)) for n in range(60) for k in (0, 0, 0.1)]
+    texts += [b"", b" ", b"\n", b"a", b" a", b"a ", b"a\n", b"\na", b"a b", b"a  b", b"a \nb", b"a\n b", b"a\tb", b"", b"a"]
+    for some in (texts, texts[::-1], [], [b""], [b" a"], [b"a "], *([t] for t in texts)):
+        assert lines.plain_lines(some) == [[lines.plain(x) for x in t.split(b"\n")] for t in some]
+
+
+def test_only_texts_with_odd_blanks_are_rewritten(monkeypatch):
+    """Lines of other texts cost no work one by one."""
+    rewritten, plain = [], lines.plain
+    monkeypatch.setattr(lines, "plain", lambda line: rewritten.append(line) or plain(line))
+    texts = [b"\n".join(b"Line %d of %d" % (i, j) for i in range(100)) for j in range(20)]
+    texts[7] += b"\nand  one"
+    got = lines.Lines([*texts, None], [*range(20), 20])
+    assert len(rewritten) == 101 and len(got.bodies) == 2001
+    assert got.bodies[0] == b"line 0 of 0" and b"and one" in got.bodies
+
+
 @pytest.mark.parametrize("most", [64, 1 << 16])
 def test_band_keys_are_minima(monkeypatch, most):
     monkeypatch.setattr(lines, "PART_BYTES", most)

@@ -51,6 +51,25 @@ def plain(line: bytes) -> bytes:
     return b" ".join(line.lower().split())
 
 
+def plain_lines(texts: list[bytes]) -> list[list[bytes]]:
+    """The lines of each text as they are compared. Few texts have blanks that change, so
+    all are searched for them at once."""
+    low = [text.lower() for text in texts]
+    raw = np.frombuffer(b"\n".join([b"", *low, b""]), np.uint8)
+    space, end = raw == 32, raw == 10
+    odd = (raw >= 9) & (raw <= 13) & ~end
+    # Blanks beside a blank, or at an end of a line.
+    odd[1:] |= (space[1:] & (space | end)[:-1]) | (end[1:] & space[:-1])
+    change = np.zeros(len(low) + 1, bool)
+    starts = np.cumsum([1, *[len(t) + 1 for t in low]])
+    # The line end after a text shows a blank before it.
+    change[np.searchsorted(starts, np.flatnonzero(odd), side="right") - 1] = True
+    return [
+        list(map(plain, text.split(b"\n"))) if changes else text.split(b"\n")
+        for text, changes in zip(low, change.tolist())
+    ]
+
+
 def shingles(body: bytes) -> np.ndarray:
     return shared.distinct(Rolling(_SYMBOLS[np.frombuffer(body, np.uint8)]).every(GRAM))
 
@@ -97,10 +116,9 @@ class Lines:
         self.first: list[tuple[int, int]] = []
         number: dict[bytes, int] = {}
         counts: list[int] = []
-        for text, owner in zip(texts, owners):
+        for own, owner in zip(plain_lines([text or b"" for text in texts]), owners):
             row = []
-            for place, line in enumerate((text or b"").split(b"\n")):
-                body = plain(line)
+            for place, body in enumerate(own):
                 if not body:
                     continue
                 at = number.setdefault(body, len(number))
@@ -175,7 +193,8 @@ def cleaned(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     bodies = found.where(F.col("body").isNotNull()).groupBy("node").agg(F.first("body").alias("body"))
     roots = links.link(members, bodies, shingles, percent)
-    nodes = found.groupBy("node").agg(F.min(F.struct("owner", "place")).alias("first"))
+    # Read twice below.
+    nodes = cut_lineage(found.groupBy("node").agg(F.min(F.struct("owner", "place")).alias("first")))
     keepers = links.rooted(nodes, roots, "first")
     back = found.select("batch", "node").join(keepers, "node").select(
         "batch", "node", F.col("least.owner").alias("owner"), F.col("least.place").alias("place")
