@@ -1,14 +1,17 @@
 """Exact top-k inner products by the threshold algorithm over sorted lists.
 
 Vectors are quantised to integers. The rows are dealt in blocks; each block keeps one
-list per dimension, sorted by value. A query walks all lists at once, from the top
-where its weight is positive and from the bottom where it is negative. No row below
-the walk can score above the weighted sum of the values at the frontier; once that
-bound is under the k-th best score so far, the rest of the block is skipped.
+list per dimension, sorted by value, and its rows in the order in which a walk down all
+lists at once, from both ends, meets them. No row below the walk can score above the
+weighted sum of the values at the frontier, taken at the top where a query's weight is
+positive and at the bottom where it is negative; once that bound is under the k-th best
+score so far, the query skips the rest of the block. The queries of a part walk together:
+what a step meets is scored for all that go on.
 
-Packed queries are sent to all blocks, which are much larger, in lots of bounded size: a
-task has one block and one lot at a time, sorts the block's lists once, and keeps the best
-rows of its queries. A final ranking merges the tasks.
+Blocks are put together in regions of bounded size and query parts in lots. A task has one
+region and one lot: it holds the blocks and reads the parts one by one, so queries travel
+once per region. Nothing is joined: rows of either kind are sent to their tasks by number,
+and none can become a broadcast. A final ranking merges the regions.
 
 Defined cases: vectors that are null or hold null or non-finite components take no part;
 shorter vectors are filled up with zeros; a query's own row is no candidate, other rows
@@ -30,14 +33,22 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.registry import query, table
+from tidemark.llm.shared import ranges
 from tidemark.session import cut_lineage
 
 SCALE = 256.0
 BLOCK_ROWS, LEAST_BLOCK = 4096, 256
 QUERY_ROWS = 512
-#: Query parts that meet a block in one go.
-LOT_PARTS = 64
+#: Components of a block, of a query part and of a region at most, for wide vectors.
+BLOCK_VALUES, QUERY_VALUES, REGION_VALUES = 1 << 20, 1 << 17, 1 << 24
+#: Query parts that meet a region in one task.
+LOT_PARTS = 512
 FIRST_DEPTH = 8
+#: So many times k candidates a query are first cut by the k-th best of them.
+CROWD = 4
+#: Below all scores: of a place that is not taken, and of a query's own row.
+FREE, BANNED = -(1 << 62), -(1 << 63)
+PACKED = "number int, kind string, ids binary, rows binary, values binary, ends binary, highs binary, lows binary"
 
 
 def usable(vector: Column) -> Column:
@@ -57,78 +68,155 @@ def quantised(vector: Column, most: int) -> Column:
     return F.transform(vector, component)
 
 
-def _pack(name: str, width: int):
+def _arrays(rows: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, row numbers, and the vectors filled up with zeros, in the smallest type that holds them."""
+    lists = rows.column("q").combine_chunks()
+    ends = lists.offsets.to_numpy()
+    matrix = np.zeros((rows.num_rows, width), np.int64)
+    held = ranges(np.arange(rows.num_rows) * width, np.diff(ends))
+    matrix.ravel()[held] = lists.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]]
+    ids, numbers = (rows.column(c).to_numpy().astype(np.int64) for c in ("vec_id", "row"))
+    largest = int(np.abs(matrix).max(initial=0))
+    return ids, numbers, matrix.astype(next(t for t in (np.int16, np.int32, np.int64) if largest <= np.iinfo(t).max))
+
+
+def _packed(number: int, values: np.ndarray, **more: np.ndarray) -> pa.Table:
+    blobs = {n: pa.array([None if v is None else v.tobytes()], pa.binary()) for n, v in (more | {"values": values}).items()}
+    head = {"number": pa.array([number], pa.int32()), "kind": pa.array([values.dtype.str])}
+    return pa.table(head | {n: blobs[n] for n in ("ids", "rows", "values", "ends", "highs", "lows")})
+
+
+def _pack_part(width: int):
     def pack(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        lists = rows.column("q").combine_chunks()
-        ends = lists.offsets.to_numpy()
-        values = lists.values.to_numpy(zero_copy_only=False)
-        matrix = np.zeros((rows.num_rows, width), np.int64)
-        for i, (a, b) in enumerate(zip(ends[:-1], ends[1:])):
-            matrix[i, : b - a] = values[a:b]
-        ids, numbers = (rows.column(c).to_numpy().astype(np.int64) for c in ("vec_id", "row"))
-        order = np.argsort(ids, kind="stable")
-        packed = {"ids": ids[order], "rows": numbers[order], "values": matrix[order]}
-        columns = {f"{name}_{k}": pa.array([v.tobytes()], pa.binary()) for k, v in packed.items()}
-        return pa.table({name: pa.array([key[0].as_py()], pa.int32())} | columns)
+        ids, numbers, values = _arrays(rows, width)
+        return _packed(key[0].as_py(), values, ids=ids, rows=numbers, ends=None, highs=None, lows=None)
 
     return pack
 
 
-def _walk(rows: np.ndarray, order: np.ndarray, weights: np.ndarray, banned: np.ndarray, k: int, bar: int):
-    """Rows of a block that can be among the best ``k``: indices and scores.
+def _pack_block(width: int):
+    """Rows in the order in which the walk meets them: those of a step by id. ``ends`` has where
+    each step ends, ``highs`` and ``lows`` the frontiers of all lists before it."""
+
+    def pack(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        ids, numbers, values = _arrays(rows, width)
+        n = len(ids)
+        order = np.argsort(values, axis=0, kind="stable")
+        from_end = np.minimum(np.arange(n), np.arange(n)[::-1])
+        met = np.full(n, n)
+        for at in order.T:
+            met[at] = np.minimum(met[at], from_end)
+        depths = [0, FIRST_DEPTH]
+        while depths[-1] < n:
+            depths.append(depths[-1] * 4)
+        step = np.searchsorted(depths[1:-1], met, side="right")
+        walk = np.lexsort((ids, step))
+        ends = np.cumsum(np.bincount(step))
+        frontier = np.maximum(depths[: len(ends)], 1)
+        highs = np.take_along_axis(values, order[n - frontier], axis=0)
+        lows = np.take_along_axis(values, order[frontier - 1], axis=0)
+        return _packed(key[0].as_py(), values[walk], ids=ids[walk], rows=numbers[walk], ends=ends, highs=highs, lows=lows)
+
+    return pack
+
+
+class _Rows:
+    """A block or a query part, from its packed form."""
+
+    def __init__(self, packed: dict, width: int):
+        self.ids, self.rows = (np.frombuffer(packed[c], np.int64) for c in ("ids", "rows"))
+        self.values = np.frombuffer(packed["values"], packed["kind"]).reshape(len(self.ids), width)
+        self.largest = int(np.abs(self.values.astype(np.int64)).max(initial=0))
+        if packed["ends"] is not None:
+            self.ends = np.frombuffer(packed["ends"], np.int64).tolist()
+            self.highs, self.lows = (
+                np.frombuffer(packed[c], packed["kind"]).reshape(len(self.ends), width) for c in ("highs", "lows")
+            )
+            self.by_row = np.argsort(self.rows)
 
-    ``bar`` is a score that k rows of earlier blocks reach; the walk ends once the
-    bound is below it, or below the k-th best score of this block. A bound that
-    ties goes on, as an unseen row may win by its smaller id.
+    def places(self, rows: np.ndarray) -> np.ndarray:
+        """Where in the block the given rows are, -1 where they are not."""
+        at = self.by_row[np.minimum(np.searchsorted(self.rows, rows, sorter=self.by_row), len(self.rows) - 1)]
+        return np.where(self.rows[at] == rows, at, -1)
+
+
+def _exact(width: int, a: int, b: int) -> type:
+    """The fastest type that holds any sum of ``width`` products of components up to a and b."""
+    largest = width * a * b
+    return np.float32 if largest < 1 << 24 else np.float64 if largest < 1 << 53 else np.int64
+
+
+def _keep(best: tuple[np.ndarray, np.ndarray], asked: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+    """Put the new rows of the queries ``asked`` (``scores`` has a line for each) among their best.
+    ``ids`` rise; a score that ties with the last place wins by its smaller id."""
+    k = best[0].shape[1]
+    bar = best[0][asked, -1].astype(scores.dtype)
+    hit = scores >= bar[:, None]
+    if np.count_nonzero(hit) > CROWD * k * len(asked):
+        at = scores.shape[1] - k
+        bar = np.maximum(bar, np.partition(scores, at, axis=1)[:, at])
+        hit = scores >= bar[:, None]
+        if np.count_nonzero(hit) > CROWD * k * len(asked):
+            tied = scores == bar[:, None]
+            hit &= ~tied | (np.cumsum(tied, axis=1) <= k)
+    found = np.flatnonzero(hit)
+    if not len(found):
+        return
+    line, column = np.divmod(found, scores.shape[1])
+    new, line = np.unique(line, return_inverse=True)
+    at = asked[new]
+    line = np.concatenate([line, np.repeat(np.arange(len(new)), k)])
+    score = np.concatenate([scores.ravel()[found].astype(np.int64), best[0][at].ravel()])
+    vec_id = np.concatenate([ids[column], best[1][at].ravel()])
+    order = np.lexsort((vec_id, -score, line))
+    first = order[np.searchsorted(line[order], np.arange(len(new)))[:, None] + np.arange(k)]
+    best[0][at], best[1][at] = score[first], vec_id[first]
+
+
+def _walk(block: _Rows, part: _Rows, best: tuple[np.ndarray, np.ndarray]) -> int:
+    """Take the rows of a block that are among the best of a part's queries; how many scores that took.
+
+    A query's bar is the k-th best score so far. A bound that ties with it goes on, as an
+    unseen row may win by its smaller id.
     """
-    n = len(rows)
-    active = np.flatnonzero(weights)
-    rising = weights[active] < 0
-    seen = np.zeros(n, bool)
-    depth = min(FIRST_DEPTH, n)
-    while True:
-        ends = np.where(rising, depth - 1, n - depth)
-        frontier = rows[order[ends, active], active]
-        for d, up in zip(active, rising):
-            seen[order[:depth, d] if up else order[n - depth :, d]] = True
-        if depth >= n or not len(active):
-            seen[:] = True
-        seen[banned] = False
-        at = np.flatnonzero(seen)
-        scores = rows[at] @ weights
-        if depth >= n or not len(active):
-            break
-        bound = int(frontier @ weights[active])
-        kth = int(np.partition(scores, len(scores) - k)[len(scores) - k]) if len(scores) >= k else None
-        if bound < bar or (kth is not None and bound < kth):
+    kind = _exact(block.values.shape[1], block.largest, part.largest)
+    rows, weights, highs, lows = (x.astype(kind) for x in (block.values, part.values, block.highs, block.lows))
+    bounds = np.maximum(weights, 0) @ highs.T + np.minimum(weights, 0) @ lows.T
+    own = block.places(part.rows)
+    asked, begin, scored = np.arange(len(weights)), 0, 0
+    for step, end in enumerate(block.ends):
+        asked = asked[bounds[asked, step] >= best[0][asked, -1].astype(kind)]
+        if not len(asked):
             break
-        depth = min(n, depth * 4)
-    best = np.lexsort((at, -scores))[:k]
-    return at[best], scores[best]
+        if begin == end:
+            continue
+        scores = weights[asked] @ rows[begin:end].T
+        mine = np.flatnonzero((own[asked] >= begin) & (own[asked] < end))
+        scores[mine, own[asked[mine]] - begin] = BANNED
+        _keep(best, asked, scores, block.ids[begin:end])
+        scored += scores.size
+        begin = end
+    return scored
 
 
 def _search(k: int, width: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        block = order = None
+        tile, blocks = None, []
         for batch in batches:
             for row in batch.to_pylist():
-                ids, numbers = (np.frombuffer(row[f"block_{c}"], np.int64) for c in ("ids", "rows"))
-                values = np.frombuffer(row["block_values"], np.int64).reshape(-1, width)
-                if block != row["block"]:
-                    block, order = row["block"], np.argsort(values, axis=0, kind="stable")
-                asked, asking = (np.frombuffer(row[f"part_{c}"], np.int64).tolist() for c in ("ids", "rows"))
-                weights = np.frombuffer(row["part_values"], np.int64).reshape(-1, width)
-                for q, number, w in zip(asked, asking, weights):
-                    held = best.setdefault((number, q), [])
-                    bar = -held[k - 1][0] if len(held) >= k else -(1 << 62)
-                    at, scores = _walk(values, order, w, np.flatnonzero(numbers == number), k, bar)
-                    held += zip((-scores).tolist(), ids[at].tolist())
-                    held.sort()
-                    del held[k:]
-        flat = [(number, q, v, -s) for (number, q), held in best.items() for s, v in held]
-        names = ["query_row", "query_id", "vec_id", "score"]
-        yield pa.RecordBatch.from_pydict({n: pa.array([x[i] for x in flat], pa.int64()) for i, n in enumerate(names)})
+                if tile != row["tile"]:
+                    tile, blocks = row["tile"], []
+                rows = _Rows(row, width)
+                if row["ends"] is not None:
+                    blocks.append(rows)
+                    continue
+                best = tuple(np.full((len(rows.ids), k), x, np.int64) for x in (FREE, 0))
+                for block in blocks:
+                    _walk(block, rows, best)
+                asked, place = np.nonzero(best[0] > FREE)
+                found = {"query_row": rows.rows[asked], "query_id": rows.ids[asked]}
+                found |= {"vec_id": best[1][asked, place], "score": best[0][asked, place]}
+                yield pa.RecordBatch.from_pydict({n: pa.array(x) for n, x in found.items()})
 
     return search
 
@@ -147,24 +235,28 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vector: str = "embed
     )
     size = good.agg(F.count("*").alias("n"), F.count(F.when(F.col("asks"), 1)).alias("asks")).first()
     cores = vectors.sparkSession.sparkContext.defaultParallelism
-    blocks = max(1, -(-size.n // BLOCK_ROWS), min(cores, size.n // LEAST_BLOCK))
-    parts = max(1, -(-size.asks // QUERY_ROWS))
+    block_rows, part_rows = (
+        max(1, min(rows, values // max(1, width))) for rows, values in ((BLOCK_ROWS, BLOCK_VALUES), (QUERY_ROWS, QUERY_VALUES))
+    )
+    blocks = max(1, -(-size.n // block_rows), min(cores, size.n // LEAST_BLOCK))
+    parts = max(1, -(-size.asks // part_rows))
+    region_blocks = max(1, REGION_VALUES // max(1, block_rows * width))
+    regions = max(-(-blocks // region_blocks), min(blocks, 2 * cores))
+    lots = max(-(-parts // LOT_PARTS), min(parts, 2 * cores // regions))
 
-    def packed(rows: DataFrame, name: str, n: int) -> DataFrame:
-        schema = f"{name} int, {name}_ids binary, {name}_rows binary, {name}_values binary"
-        dealt = rows.withColumn(name, F.pmod(F.xxhash64("row"), F.lit(n)).cast("int"))
-        return dealt.groupBy(name).applyInArrow(_pack(name, width), schema)
+    def packed(rows: DataFrame, n: int, pack) -> DataFrame:
+        dealt = rows.withColumn("number", F.pmod(F.xxhash64("row"), F.lit(n)).cast("int"))
+        return dealt.groupBy("number").applyInArrow(pack(width), PACKED)
 
     def numbers(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    asked = packed(good.where("asks"), "part", parts).select(
-        "*", F.floor(F.col("part") / LOT_PARTS).cast("int").alias("lot"), numbers(blocks).alias("block")
-    )
-    held = packed(good, "block", blocks).withColumn("lot", numbers(-(-parts // LOT_PARTS)))
-    found = held.join(asked, ["block", "lot"]).mapInArrow(
-        _search(k, width), "query_row long, query_id long, vec_id long, score long"
-    )
+    region, lot = F.col("number") % regions, F.col("number") % lots
+    held = packed(good, blocks, _pack_block).select("*", region.alias("region"), numbers(lots).alias("lot"))
+    asked = packed(good.where("asks"), parts, _pack_part).select("*", lot.alias("lot"), numbers(regions).alias("region"))
+    tiles = held.unionByName(asked).withColumn("tile", F.col("region") * lots + F.col("lot"))
+    in_turn = tiles.repartitionById(regions * lots, F.col("tile")).sortWithinPartitions("tile", F.col("ends").isNull())
+    found = in_turn.mapInArrow(_search(k, width), "query_row long, query_id long, vec_id long, score long")
     rank = F.row_number().over(W.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score"
