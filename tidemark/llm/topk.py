@@ -44,6 +44,8 @@ BLOCK_VALUES, QUERY_VALUES, REGION_VALUES = 1 << 20, 1 << 17, 1 << 24
 #: Query parts that meet a region in one task.
 LOT_PARTS = 512
 FIRST_DEPTH = 8
+#: Rows that are scored at once: their scores for a part stay in the processor's cache.
+SCORED_ROWS = 1024
 #: So many times k candidates a query are first cut by the k-th best of them.
 CROWD = 4
 #: Below all scores: of a place that is not taken, and of a query's own row.
@@ -151,6 +153,10 @@ def _keep(best: tuple[np.ndarray, np.ndarray], asked: np.ndarray, scores: np.nda
     ``ids`` rise; a score that ties with the last place wins by its smaller id."""
     k = best[0].shape[1]
     bar = best[0][asked, -1].astype(scores.dtype)
+    some = np.flatnonzero(scores.max(axis=1) >= bar)
+    if not len(some):
+        return
+    asked, bar, scores = asked[some], bar[some], scores[some]
     hit = scores >= bar[:, None]
     if np.count_nonzero(hit) > CROWD * k * len(asked):
         at = scores.shape[1] - k
@@ -160,8 +166,6 @@ def _keep(best: tuple[np.ndarray, np.ndarray], asked: np.ndarray, scores: np.nda
             tied = scores == bar[:, None]
             hit &= ~tied | (np.cumsum(tied, axis=1) <= k)
     found = np.flatnonzero(hit)
-    if not len(found):
-        return
     line, column = np.divmod(found, scores.shape[1])
     new, line = np.unique(line, return_inverse=True)
     at = asked[new]
@@ -183,18 +187,20 @@ def _walk(block: _Rows, part: _Rows, best: tuple[np.ndarray, np.ndarray]) -> int
     rows, weights, highs, lows = (x.astype(kind) for x in (block.values, part.values, block.highs, block.lows))
     bounds = np.maximum(weights, 0) @ highs.T + np.minimum(weights, 0) @ lows.T
     own = block.places(part.rows)
+    room = np.empty(len(weights) * min(len(rows), SCORED_ROWS), kind)
     asked, begin, scored = np.arange(len(weights)), 0, 0
     for step, end in enumerate(block.ends):
         asked = asked[bounds[asked, step] >= best[0][asked, -1].astype(kind)]
         if not len(asked):
             break
-        if begin == end:
-            continue
-        scores = weights[asked] @ rows[begin:end].T
-        mine = np.flatnonzero((own[asked] >= begin) & (own[asked] < end))
-        scores[mine, own[asked[mine]] - begin] = BANNED
-        _keep(best, asked, scores, block.ids[begin:end])
-        scored += scores.size
+        mine = weights[asked]
+        for a in range(begin, end, SCORED_ROWS):
+            b = min(end, a + SCORED_ROWS)
+            scores = np.matmul(mine, rows[a:b].T, out=room[: len(mine) * (b - a)].reshape(len(mine), b - a))
+            here = np.flatnonzero((own[asked] >= a) & (own[asked] < b))
+            scores[here, own[asked[here]] - a] = BANNED
+            _keep(best, asked, scores, block.ids[a:b])
+            scored += scores.size
         begin = end
     return scored
 
